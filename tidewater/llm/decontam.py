@@ -249,7 +249,7 @@ def contaminated(docs: DataFrame, items: DataFrame, theta: float = 0.5, overlap:
 
 
 def _scan(rows: DataFrame, shared, keep: tuple[str, ...]) -> DataFrame:
-    schema = rows.select(*keep).withColumns({"item_id": F.lit(0).cast("long"), "score": F.lit(0.0), "overlap": F.lit(0.0)}).schema
+    schema = rows.select(*keep).withColumns({"item_id": F.lit(None).cast("long"), "score": F.lit(0.0), "overlap": F.lit(0.0)}).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = shared.value

@@ -147,7 +147,7 @@ def discounts(n: np.ndarray) -> list[float]:
     """The three discounts from the numbers of items seen 1, 2, 3 and 4 times."""
     n1, n2, n3, n4 = (float(x) for x in n[:4])
     if not n1 or not n2:
-        return [0.5, 0.75, 0.9] if n1 else [0.0, 0.0, 0.0]
+        return [0.5, 0.75, 0.9]  # too few items to tell; some mass must be left for the unseen
     y = n1 / (n1 + 2 * n2)
     raw = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3 if n3 else 3 - 4 * y]
     return [min(max(d, 0.05), k) for d, k in zip(raw, (0.99, 1.99, 2.99))]

@@ -596,7 +596,7 @@ def pii_email_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.where(F.size("e") > 0).select("doc_id", F.size("e").alias("n"), F.col("e")[0].alias("first_found"))
 
 
-@query(f"with d as ({REPEATED}) select 'duplicate_key' \"check\", cast(count(*) - count(distinct event_id) as bigint) violations from d where event_id is not null union all select 'user_small', cast(count(*) as bigint) from d where event_id is not null and user_id > 100")
+@query(f"with d as ({REPEATED}), v as (select 'duplicate_key' \"check\", cast(count(*) - count(distinct event_id) as bigint) violations from d where event_id is not null union all select 'user_small', cast(count(*) as bigint) from d where event_id is not null and user_id > 100) select * from v where violations > 0")
 def contract_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _repeated(spark, sf_dir).where("event_id is not null")
     found = Contract.of(rows.schema, ["event_id"], {"user_small": "user_id <= 100"}).row_violations(rows)

@@ -20,19 +20,31 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return scored.where("predicted = 1").select(*docs.columns)
 
 
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is not among ``ids`` (written already).
+    Few ids are broadcast, so that the texts need no shuffle."""
+    few = ids.count() <= neardup.BROADCAST_IDS
+    return docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_anti").select(*docs.columns)
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays, the one of the
     smallest id; rows that repeat its id stay once."""
-    kept = scratch.table(neardup.near_duplicates(docs, percent=80).where("kept").select("doc_id"), "kept")
-    known = docs.where("doc_id is not null").join(kept.where("doc_id is not null").distinct(), "doc_id", "left_semi")
-    return known.dropDuplicates(["doc_id"]).select(*docs.columns).union(docs.where("doc_id is null"))
+    judged = scratch.table(neardup.near_duplicates(docs, percent=80).select("doc_id", "kept"), "judged")
+    gone = scratch.table(judged.where("not kept").select("doc_id").distinct(), "gone")
+    rest = without(docs, gone)
+    twice = scratch.table(judged.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "twice")
+    if not twice.limit(1).count():
+        return rest
+    once = rest.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    return without(rest, twice).union(once)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     hits = scratch.table(decontam.contaminated(docs, items).select("doc_id").distinct(), "hits")
-    return docs.join(hits, "doc_id", "left_anti").select(*docs.columns)
+    return without(docs, hits)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -80,7 +80,8 @@ def sample_to_targets(rows: DataFrame, seed: int = 17, **rule) -> DataFrame:
         targets.withColumnRenamed("source", "t"), F.col("s").eqNullSafe(F.col("t"))
     )
     each = F.floor(F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)) * UNIT)
-    offset = F.pmod(F.xxhash64(F.coalesce("s", F.lit("\0null")), F.lit(seed)), F.lit(UNIT))
+    named = F.concat(F.lit(f"{seed}:"), F.coalesce(F.concat(F.lit("="), "s"), F.lit("null")))
+    offset = F.conv(F.substring(F.md5(named.cast("binary")), 1, 7), 16, 10).cast("long")  # 28 bits
     per = per.select("s", "__first", "source_size", "target", each.cast("long").alias("__each"), offset.alias("__offset"))
     per = scratch.table(per, "targets")
     if per.count() <= BROADCAST_SOURCES:

@@ -75,4 +75,35 @@ QUERIES = {
     for f in (op1_toxicity, op2_nearest_neighbours, op3_decontamination, op4_near_duplicates, op5_sharding, op6_mixing, op7_kneser_ney, op8_language_id, op9_url_filter, op10_quality)
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: Ranks, targets and integer crossings as in ``mixing``; offsets are the first 28 bits of an MD5.
+_MIXING = r"""
+with d as (select doc_id, source, case when text is null then 0 else len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) end size from documents),
+s as (select source, sum(size)::bigint source_size from d group by 1),
+w as (select *, case (row_number() over (order by source nulls last) - 1) % 3 when 0 then 3.0::double when 1 then 1.0::double else 2.0::double end w, 2.0::double * source_size cap from s),
+o as (select *, 1.5::double * (sum(source_size) over ())::double as total,
+  coalesce(sum(cap) over (order by cap / w, source nulls last rows between unbounded preceding and 1 preceding), 0) as before_cap,
+  sum(w) over () - coalesce(sum(w) over (order by cap / w, source nulls last rows between unbounded preceding and 1 preceding), 0) as rest from w),
+l as (select *, (total - before_cap) / rest as level from o),
+f as (select (select level from l where level * w <= cap order by cap / w, source nulls last limit 1) as fixed),
+t as (select l.source, l.source_size, case when fixed is null then cap else least(cap, fixed * w) end target from l, f),
+e as (select *, case when source_size > 0 then floor(target / source_size * 268435456)::bigint else 0 end each_,
+  ('0x' || substr(md5(concat('17:', coalesce('=' || source, 'null'))), 1, 7))::bigint as off_ from t),
+r as (select d.*, row_number() over (partition by source order by size, doc_id nulls first) - 1 as k from d)
+select r.doc_id, r.source, r.size::bigint size, e.source_size, e.target::double target,
+  (((off_ + (k + 1) * each_) // 268435456 - (off_ + k * each_) // 268435456) * r.size)::bigint taken
+from r join e on e.source is not distinct from r.source"""
+
+_URLS = r"""
+with u as (select page_id, url, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) end rest from pages),
+h as (select page_id, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') host, coalesce(regexp_extract(rest, '^[^/?#]*(/[^?#]*)', 1), '') path from u),
+r as (select *, case when (host = 'example.org' or ends_with(host, '.example.org')) and starts_with(path, '/en/1') then 'example.org/en/1'
+  when (host = 'example.org' or ends_with(host, '.example.org')) and starts_with(path, '/es/') then 'example.org/es/'
+  when (host = 'com' or ends_with(host, '.com')) and starts_with(path, '/fr/') then 'com/fr/'
+  when (host = 'com' or ends_with(host, '.com')) and starts_with(path, '/de/') then 'com/de/'
+  when (host = 'org' or ends_with(host, '.org')) and starts_with(path, '/') then 'org/' end as rule_,
+  case when host <> '' then regexp_replace(regexp_replace(host, '^www\.', ''), ':[0-9]+$', '') || regexp_replace(path, '(/+|\.html?)$', '') end canonical,
+  regexp_extract(host, '([^.]+)\.[^.]+\.[^.]+$', 1) in ('casino-win', 'free-bets', 'cheap-pills', 'ads-track') listed from h)
+select page_id, host, path, rule_ as "rule", case when rule_ in ('org/', 'com/fr/') then 'allow' when rule_ is not null then 'block'
+  when canonical in (select canonical from r where listed) then 'block' else 'allow' end verdict from r"""
+
+ORACLE_SQL: dict[str, str] = {"op6_mixing": _MIXING, "op9_url_filter": _URLS}

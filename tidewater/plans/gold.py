@@ -168,3 +168,8 @@ def fact_violations(fact: DataFrame) -> DataFrame:
     one = fact.agg(*[F.count_if(c).alias(n) for n, c in checks.items()], (F.count("*") - F.countDistinct(*[F.coalesce(F.col(k), F.lit(-1)) for k in PR])).alias("grain"))
     names = [*checks, "grain"]
     return one.select(F.explode(F.array(*[F.struct(F.lit(n).alias("check"), F.col(n).cast("long").alias("violations")) for n in names])).alias("c")).select("c.check", "c.violations")
+
+
+def orphans(rows: DataFrame, parent: DataFrame, key: str) -> DataFrame:
+    """Distinct non-null keys of ``rows`` that ``parent`` lacks; none in sound tables."""
+    return rows.where(F.col(key).isNotNull()).select(key).distinct().join(parent.select(key), key, "left_anti")

@@ -17,8 +17,8 @@ ever gathered or paired with one another.
 2. Each document is compared with the smallest id of the keys it shares most
    often (one comparison a document), on full shingle sets.
 3. Where a key still holds several components, its documents are compared by
-   signature, block by block, and pairs of different components within the
-   distance are compared on full sets.  Blocks have bounded size, so a key with
+   signature, block by block; pairs of different components that neither the
+   distance nor set sizes nor long signatures refute are compared on full sets.  Blocks have bounded size, so a key with
    any number of documents is spread over tasks.
 
 Nulls: a row with a null id is never linked; its component is null and it is
@@ -43,6 +43,8 @@ from .components import components
 from .tokens import U64, WordHasher, as_bytes, mix, shingle_set, slices, words_of
 
 CHUNK = 4
+#: Slots of the signatures that refute pairs under crowded keys (8 bits each).
+WIDE = 512
 #: Ids up to this number are broadcast to pick their texts (8 bytes each).
 BROADCAST_IDS = 1_000_000
 
@@ -58,6 +60,17 @@ def plan_chunks(similarity: float, miss: float = 1e-5) -> int:
     raise ValueError(f"no plan for similarity {similarity}")
 
 
+def allowed(slots: int, similarity: float, miss: float = 1e-6) -> int:
+    """So many of ``slots`` may differ that a pair at this similarity exceeds it
+    with a probability below ``miss``."""
+    p, rest = 1 - similarity, 1.0
+    for most in range(slots + 1):
+        rest -= comb(slots, most) * p**most * (1 - p) ** (slots - most)
+        if rest < miss:
+            return most
+    return slots
+
+
 def _constants(slots: int) -> tuple[np.ndarray, np.ndarray]:
     seed = np.arange(1, slots + 1, dtype=U64)
     return mix(seed * U64(0x9E3779B97F4A7C15)), mix(seed * U64(0xD1B54A32D192ED03)) | U64(1)
@@ -142,9 +155,7 @@ def _within(pairs: DataFrame, reps: DataFrame, slots: int, most: int) -> DataFra
 def _confirm(pairs: DataFrame, docs: DataFrame, percent: int, width: int) -> DataFrame:
     """The pairs whose full shingle sets have 100 * intersection >= percent * union."""
     ids = scratch.table(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "ids")
-    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("t")).join(wanted, "id")
-    texts = scratch.table(texts, "texts")
+    texts = scratch.table(_texts(ids, docs), "texts")
     both = (
         pairs.join(texts.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b")
         .join(texts.select(F.col("id").alias("a"), F.col("t").alias("ta")), "a")
@@ -168,20 +179,45 @@ def _confirm(pairs: DataFrame, docs: DataFrame, percent: int, width: int) -> Dat
     return both.mapInArrow(run, "a long, b long")
 
 
-def _crossing(members: DataFrame, reps: DataFrame, slots: int, most: int, block: int = 2048) -> DataFrame:
-    """Pairs (a < b) of different components that share a key and lie within
-    the distance.  ``members``: key, id, comp, n (documents under the key)."""
+def _wide(ids: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """id, wide, n: long signatures of the documents ``ids`` and their set sizes."""
+    flips, factors = _constants(WIDE)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = WordHasher()
+        for b in slices(batches, "t"):
+            sets = [shingle_set(hasher(words_of(t)), width) for t in as_bytes(b.column("t"))]
+            sigs = [signature(x, flips, factors, 512).astype(np.uint8).tobytes() for x in sets]
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(sigs, pa.binary()), pa.array([len(x) for x in sets], pa.int64())], ["id", "wide", "size"])
+
+    texts = _texts(ids, docs).where("length(t) > 0").dropDuplicates(["id"])
+    return texts.mapInArrow(run, "id long, wide binary, size long")
+
+
+def _texts(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """id, t of the documents ``ids`` (one column, distinct, written already)."""
+    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("t")).join(wanted, "id")
+
+
+def _crossing(members: DataFrame, reps: DataFrame, docs: DataFrame, slots: int, most: int, percent: int, width: int, block: int = 1024) -> DataFrame:
+    """Pairs (a < b) of different components that share a key, lie within the
+    distance and are not refuted by set sizes or long signatures.  ``members``:
+    key, id, comp, n (documents under the key)."""
+    wide = scratch.table(_wide(scratch.table(members.select("id").distinct(), "ids"), docs, width), "wide")
+    far_wide = allowed(WIDE, percent / 100)
     blocks = F.ceil(F.col("n") / block).cast("int")
     dealt = members.withColumn("own", F.pmod(F.xxhash64("id"), blocks).cast("int"))
     # documents in block i meet those in block j once, at (min(i, j), max(i, j))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "comp")
-    dealt = dealt.join(reps.select("id", "sig"), "id")
+    dealt = dealt.join(reps.select("id", "sig").dropDuplicates(["id"]), "id").join(wide, "id")
 
     def run(table: pa.Table) -> pa.Table:
-        own, ids, comp = (table.column(c).to_numpy() for c in ("own", "id", "comp"))
+        own, ids, comp, size = (table.column(c).to_numpy() for c in ("own", "id", "comp", "size"))
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
         sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(-1, slots)
+        longs = np.frombuffer(b"".join(table.column("wide").to_pylist()), np.uint8).reshape(-1, WIDE)
         left = np.flatnonzero(own == i)
         right = np.flatnonzero(own == j)
         a, b = [], []
@@ -191,8 +227,14 @@ def _crossing(members: DataFrame, reps: DataFrame, slots: int, most: int, block:
             for s in range(slots):
                 far += sigs[rows, s][:, None] != sigs[right, s][None, :]
             x, y = np.nonzero((far <= most) & (comp[rows][:, None] != comp[right][None, :]))
-            a.append(ids[rows[x]])
-            b.append(ids[right[y]])
+            x, y = rows[x], right[y]
+            fits = 100 * np.minimum(size[x], size[y]) >= percent * np.maximum(size[x], size[y])
+            x, y = x[fits], y[fits]
+            for k in range(0, len(x), 4096):
+                u, v = x[k : k + 4096], y[k : k + 4096]
+                near = (longs[u] != longs[v]).sum(axis=1) <= far_wide
+                a.append(ids[u[near]])
+                b.append(ids[v[near]])
         a, b = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (a, b))
         return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
@@ -218,7 +260,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5) -> DataF
 
     placed = members.join(label, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("comp"))
     mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
-    left = scratch.table(_crossing(placed.join(mixed, "key"), reps, slots, most), "crossing")
+    left = scratch.table(_crossing(placed.join(mixed, "key"), reps, docs, slots, most, percent, width), "crossing")
     if left.limit(1).count():
         more = scratch.table(_confirm(left, docs, percent, width), "confirmed")
         if more.limit(1).count():

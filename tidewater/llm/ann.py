@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import scratch
+from .labelled import first_by_hash
 
 GROUP = 20_000
 
@@ -175,7 +176,7 @@ def search(rows: DataFrame, is_query: Column, k: int = 10, recall: float = 0.95,
     count = vectors.count()
     if not count:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    some = vectors.orderBy(F.xxhash64("id"), "id").limit(sample).select("v").toArrow()
+    some = first_by_hash(vectors, "id", sample).select("v").toArrow()
     tree = Tree(matrix(some["v"]), leaf_count(count))
     shared = spark.sparkContext.broadcast(tree)  # 4096 leaves at most
 
@@ -187,7 +188,7 @@ def search(rows: DataFrame, is_query: Column, k: int = 10, recall: float = 0.95,
     indexed = scratch.table(vectors.mapInArrow(assign, "id long, v array<double>, leaf long"), "leaves")
     splits = {r["leaf"]: -(-r["count"] // GROUP) for r in indexed.groupBy("leaf").count().collect()}  # a row for each leaf
     queries = indexed.where(is_query)
-    probe = [(r["id"], r["v"]) for r in queries.orderBy(F.xxhash64("id"), "id").limit(probes).collect()]
+    probe = [(r["id"], r["v"]) for r in first_by_hash(queries, "id", probes).collect()]
     visits = _calibrate(tree, indexed, probe, k, recall)
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -12,6 +12,17 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(folds))
 
 
+def first_by_hash(rows: DataFrame, id_col: str, n: int) -> DataFrame:
+    """``n`` rows of least hash of the id (all, if there are fewer), the same on
+    every run.  Rows that cannot be among them are left out before the sort, so
+    that the sort gets about twice ``n`` rows however large the table is."""
+    total = rows.count()
+    hashed = F.xxhash64(id_col)
+    if total > 4 * n:
+        rows = rows.where(hashed < F.lit(int(-(2**63) + 2**64 * (2 * n / total))))
+    return rows.orderBy(hashed, id_col).limit(n)
+
+
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, learn_from: Column, rows: int, more: list[str] | None = None) -> DataFrame:
     """doc_id, text, label (0/1) and the columns ``more`` of at most ``rows`` labelled documents.
 
@@ -24,9 +35,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, learn_from:
         .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & learn_from)
         .groupBy("doc_id")
         .agg(F.max("label").alias("label"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(rows)
     )
+    chosen = first_by_hash(chosen, "doc_id", rows)
     found = docs.select("doc_id", "text", *(more or [])).where(F.col("text").isNotNull())
     return found.join(F.broadcast(chosen), "doc_id")
 

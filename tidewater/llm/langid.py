@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import scratch
+from .labelled import first_by_hash
 from .tokens import as_bytes, slices
 from .urlfilter import host_of
 
@@ -118,7 +119,9 @@ def _sums(n: int, prob: str, name: str) -> Column:
 def identify(pages: DataFrame, known: DataFrame, rows: int = 4000, temper: float = 20.0, alpha: float = 4.0) -> DataFrame:
     """page_id, host, declared, lang, probability, lang_by_text.  ``known``:
     text, lang (and doc_id), of which ``rows`` in a hash order are learned from."""
-    sample = known.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    usable = known.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
+    chosen = first_by_hash(usable.select("doc_id"), "doc_id", rows).distinct()
+    sample = usable.select("doc_id", "lang", "text").join(F.broadcast(chosen), "doc_id")  # ``rows`` ids at most
     langs, table = learn_text(sample)
     n = len(langs)
     if not n:

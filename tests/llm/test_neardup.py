@@ -94,6 +94,15 @@ def test_plan_guarantees_the_distance():
         assert (neardup.chunk_keys(a) == neardup.chunk_keys(b)).any(axis=1).all()
 
 
+def test_first_shared_key():
+    rng = np.random.default_rng(2)
+    a = rng.integers(0, 1 << 16, (300, 32)).astype(np.uint16)
+    b = np.where(rng.random(a.shape) < 0.6, a ^ 1, a)
+    same = neardup.chunk_keys(a) == neardup.chunk_keys(b)
+    want = np.where(same.any(axis=1), same.argmax(axis=1), 32)
+    assert (neardup.first_shared(a, b) == want).all() and (want == 32).any()
+
+
 def test_component_chain(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(1, 60)] + [(100, 200), (200, 300), (7, 7)], "a long, b long")
     got = {r["id"]: r["component"] for r in components(edges).collect()}

@@ -121,8 +121,20 @@ def sketch(docs: DataFrame, chunks: int, width: int = 5) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, n_shingles long, digest binary, sig binary")
 
 
+def first_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The first slot left out by a key that the rows of ``a`` and ``b`` share;
+    the number of slots where they share none."""
+    same = (a == b).reshape(len(a), -1, CHUNK)
+    shares = same.sum(axis=2) >= CHUNK - 1
+    chunk = shares.argmax(axis=1)
+    # all four equal: the first slot; else the one that differs
+    slot = np.argmin(same[np.arange(len(a)), chunk], axis=1)
+    return np.where(shares.any(axis=1), chunk * CHUNK + slot, a.shape[1])
+
+
 def _listed(reps: DataFrame, slots: int) -> DataFrame:
-    """key, id: each representative under all its keys."""
+    """key, id, slot: each representative under all its keys; ``slot`` is the one
+    that a key leaves out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -130,9 +142,10 @@ def _listed(reps: DataFrame, slots: int) -> DataFrame:
                 sigs = np.frombuffer(b"".join(part.column("sig").to_pylist()), np.uint16).reshape(-1, slots)
                 keys = chunk_keys(sigs)
                 ids = np.repeat(part.column("id").to_numpy(), slots)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(ids)], ["key", "id"])
+                left_out = np.tile(np.arange(slots, dtype=np.int32), len(sigs))
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(ids), pa.array(left_out)], ["key", "id", "slot"])
 
-    return reps.select("id", "sig").mapInArrow(run, "key long, id long")
+    return reps.select("id", "sig").mapInArrow(run, "key long, id long, slot int")
 
 
 def _within(pairs: DataFrame, reps: DataFrame, slots: int, most: int) -> DataFrame:
@@ -203,19 +216,20 @@ def _texts(ids: DataFrame, docs: DataFrame) -> DataFrame:
 def _crossing(members: DataFrame, reps: DataFrame, docs: DataFrame, slots: int, most: int, percent: int, width: int, block: int = 1024) -> DataFrame:
     """Pairs (a < b) of different components that share a key, lie within the
     distance and are not refuted by set sizes or long signatures.  ``members``:
-    key, id, comp, n (documents under the key)."""
+    key, slot, id, comp, n (documents under the key).  A pair is compared under
+    the first key it shares and passed over under the others."""
     wide = scratch.table(_wide(scratch.table(members.select("id").distinct(), "ids"), docs, width), "wide")
     far_wide = allowed(WIDE, percent / 100)
     blocks = F.ceil(F.col("n") / block).cast("int")
     dealt = members.withColumn("own", F.pmod(F.xxhash64("id"), blocks).cast("int"))
     # documents in block i meet those in block j once, at (min(i, j), max(i, j))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "comp")
+    dealt = dealt.select("key", "slot", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "comp")
     dealt = dealt.join(reps.select("id", "sig").dropDuplicates(["id"]), "id").join(wide, "id")
 
     def run(table: pa.Table) -> pa.Table:
         own, ids, comp, size = (table.column(c).to_numpy() for c in ("own", "id", "comp", "size"))
-        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        i, j, slot = (table.column(c)[0].as_py() for c in ("i", "j", "slot"))
         sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(-1, slots)
         longs = np.frombuffer(b"".join(table.column("wide").to_pylist()), np.uint8).reshape(-1, WIDE)
         left = np.flatnonzero(own == i)
@@ -228,10 +242,14 @@ def _crossing(members: DataFrame, reps: DataFrame, docs: DataFrame, slots: int,
                 far += sigs[rows, s][:, None] != sigs[right, s][None, :]
             x, y = np.nonzero((far <= most) & (comp[rows][:, None] != comp[right][None, :]))
             x, y = rows[x], right[y]
+            once = ids[x] < ids[y] if i == j else np.ones(len(x), bool)
+            x, y = x[once], y[once]
             fits = 100 * np.minimum(size[x], size[y]) >= percent * np.maximum(size[x], size[y])
             x, y = x[fits], y[fits]
             for k in range(0, len(x), 4096):
                 u, v = x[k : k + 4096], y[k : k + 4096]
+                first = first_shared(sigs[u], sigs[v]) == slot
+                u, v = u[first], v[first]
                 near = (longs[u] != longs[v]).sum(axis=1) <= far_wide
                 a.append(ids[u[near]])
                 b.append(ids[v[near]])
@@ -258,7 +276,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5) -> DataF
     first = scratch.table(_confirm(scratch.table(_within(best, reps, slots, most), "stars"), docs, percent, width), "confirmed")
     label = components(first)
 
-    placed = members.join(label, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("comp"))
+    placed = members.join(label, "id", "left").select("key", "slot", "id", "n", F.coalesce("component", "id").alias("comp"))
     mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
     left = scratch.table(_crossing(placed.join(mixed, "key"), reps, docs, slots, most, percent, width), "crossing")
     if left.limit(1).count():

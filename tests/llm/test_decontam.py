@@ -71,3 +71,12 @@ def test_parts_of_a_large_benchmark(spark, make_docs, monkeypatch):
     bench = spark.createDataFrame([(k, f"alpha{k} beta{k} gamma{k} delta{k} eps{k}") for k in range(17)], "item_id long, text string")
     docs = make_docs([(k, f"so alpha{k} beta{k} gamma{k} delta{k} eps{k} it is", "en", "s") for k in range(17)])
     assert sorted((r["doc_id"], r["item_id"]) for r in decontam.contaminated(docs, bench).collect()) == [(k, k) for k in range(17)]
+
+
+def test_parts_of_one_and_two_words(spark, make_docs):
+    answer = "the tall ship sailed past nine islands."
+    bench = spark.createDataFrame([(1, "Beber. " + answer), (2, "Inou on. " + answer.replace("ship", "boat")), (3, "Oninhe."), (4, "Vato kesi.")], "item_id long, text string")
+    around = "some words before {} and some words after it"
+    texts = ["beber the tall ship sailed past nine islands", "inou on the tall boat sailed past nine islands", "oninhe", "vato kesi", "on inou the tall boat sailed past nine islands", "kesi vato", "vato and kesi"]
+    docs = make_docs([(k, around.format(t), "en", "s") for k, t in enumerate(texts)] + [(10, "vato kesi", "en", "s"), (11, "vato", "en", "s")])
+    assert sorted((r["doc_id"], r["item_id"]) for r in decontam.contaminated(docs, bench).collect()) == [(0, 1), (1, 2), (2, 3), (3, 4), (10, 4)]

@@ -14,7 +14,8 @@ lies whole in some passage.
 
 A retrieved item is verified in the passage: its last sentence counts as the
 answer and what precedes it as the question; both must overlap in word
-trigrams (an item of one sentence has a question only).
+trigrams, or where one has fewer than three words, in all of its words as they
+follow each other (an item of one sentence has a question only).
 
 Nulls: null and empty texts and items without words match nothing.  Null ids
 are returned as nulls.  Repeated documents each return their matches; repeated
@@ -161,7 +162,7 @@ class Matcher:
     def __init__(self, items: list[tuple[int | None, str]], theta: float, overlap: float) -> None:
         self.theta, self.overlap = theta, overlap
         self.ids = [i for i, _ in items]
-        self.parts = [tuple(map(grams, question_and_answer(t))) for _, t in items]
+        self.parts = [[(min(3, len(p)), grams(p)) for p in question_and_answer(t) if p] for _, t in items]
         entries, self.owner, self.long = [], [], []
         for k, (_, text) in enumerate(items):
             words = normal_words(text.encode())
@@ -214,22 +215,25 @@ class Matcher:
             hits = self.index.search(np.unique(span[span >= 0]).tolist(), self.theta, blocks)
             for entry, weight in hits:
                 k = self.owner[entry]
-                share = 1.0 if self.long[k] else self._overlap(k, grams(texts[t][a:b]))
+                share = 1.0 if self.long[k] else self._overlap(k, texts[t][a:b])
                 if share >= self.overlap:
                     old = best[t].get(k, (0.0, 0.0))
                     best[t][k] = (max(old[0], weight), max(old[1], share))
         for t, found in enumerate(best):
             for k in [k for k in found if self.long[k]]:  # longer than a passage: verified in the whole text
-                share = self._overlap(k, grams(texts[t]))
+                share = self._overlap(k, texts[t])
                 if share >= self.overlap:
                     found[k] = (found[k][0], share)
                 else:
                     del found[k]
         return best
 
-    def _overlap(self, item: int, text: set) -> float:
-        """The smaller of the shares of question and answer trigrams in ``text``."""
-        return min((len(g & text) / len(g) for g in self.parts[item] if g), default=0.0)
+    def _overlap(self, item: int, words: list[bytes]) -> float:
+        """The smaller of the shares of question and answer grams in ``words``,
+        whose grams are as long as those of the part."""
+        parts = self.parts[item]
+        text = {n: grams(words, n) for n in {n for n, _ in parts}}
+        return min((len(g & text[n]) / len(g) for n, g in parts), default=0.0)
 
 
 def contaminated(docs: DataFrame, items: DataFrame, theta: float = 0.5, overlap: float = 0.5, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

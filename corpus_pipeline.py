@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidewater.llm import decontam, mixing, neardup, quality, scratch, sharding
 from tidewater.llm.labelled import fold
+from tidewater.llm.ranking import with_rank
 
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,38 +21,44 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return scored.where("predicted = 1").select(*docs.columns)
 
 
-def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is not among ``ids`` (written already).
-    Few ids are broadcast, so that the texts need no shuffle."""
-    few = ids.count() <= neardup.BROADCAST_IDS
-    return docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_anti").select(*docs.columns)
+def without(docs: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows of ``docs`` whose ``key`` is not among ``keys`` (written already).
+    Few keys are broadcast, so that the texts need no shuffle."""
+    few = keys.count() <= neardup.BROADCAST_IDS
+    return docs.join(F.broadcast(keys) if few else keys, key, "left_anti")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, the one of the
-    smallest id; rows that repeat its id stay once."""
-    judged = scratch.table(neardup.near_duplicates(docs, percent=80).select("doc_id", "kept"), "judged")
-    gone = scratch.table(judged.where("not kept").select("doc_id").distinct(), "gone")
-    rest = without(docs, gone)
-    twice = scratch.table(judged.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "twice")
-    if not twice.limit(1).count():
-        return rest
-    once = rest.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return without(rest, twice).union(once)
+    """One row of each group of near-duplicates stays, one of the smallest id
+    (null last).  Texts are compared, whatever their ids: rows are told apart by
+    their rank in the order of ids.  Rows without words that share an id are
+    repeated rows."""
+    known = F.col("doc_id").isNotNull()
+    tagged = docs.withColumns({"__null": ~known, "__digest": sharding.digest(F.col("text"))})
+    rows = with_rank(tagged, ["__null", "doc_id", "__digest"], "__row").drop("__null", "__digest")
+    found = neardup.near_duplicates(rows.select(F.col("__row").alias("doc_id"), "text"), percent=80)
+    judged = scratch.table(found.select(F.col("doc_id").alias("__row"), "kept", F.col("n_shingles").alias("__n")), "judged")
+    empty = judged.where("__n = 0").join(rows.select("__row", "doc_id").where(known), "__row")
+    first = empty.groupBy("doc_id").agg(F.min("__row").alias("__row"))
+    again = empty.select("__row").join(first.select("__row"), "__row", "left_anti")
+    gone = scratch.table(judged.where("not kept").select("__row").union(again), "gone")
+    return without(rows, gone, "__row").select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Rows that hold a benchmark item go, by their texts, whatever their ids."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    hits = scratch.table(decontam.contaminated(docs, items).select("doc_id").distinct(), "hits")
-    return without(docs, hits)
+    rows = docs.withColumn("__digest", sharding.digest(F.col("text")))
+    hits = scratch.table(decontam.contaminated(rows, items, keep=("__digest",)).select("__digest").distinct(), "hits")
+    return without(rows, hits, "__digest").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
-    copies = scratch.table(mixing.mix(docs).where("copies > 0").select("doc_id", "copies"), "copies")
-    taken = docs.join(copies, "doc_id")
-    return taken.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("__copy")).drop("__copy")
+    """Each row as often as the mix takes it; rows go through the sampler whole."""
+    whole = F.struct(*docs.columns).alias("__row")
+    rows = docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"), whole)
+    taken = mixing.sample_to_targets(rows, keep=("__row",)).where("copies > 0")
+    return taken.select("__row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("__row.*")
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

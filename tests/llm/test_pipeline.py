@@ -58,6 +58,39 @@ def test_stages(spark, tmp_path, make_docs):
     assert all(len(s) == 1 for s in by_text.values())
 
 
+def test_null_and_repeated_ids(spark, tmp_path, make_docs):
+    rng = random.Random(3)
+    item = words(rng, 20)
+    a, b, c, d, e, f, g = (words(rng, 40) for _ in range(7))
+    leak = words(rng, 30) + " " + item + " " + words(rng, 30)
+    rows = [(1, a), (1, b), (2, c), (3, d), (3, c), (None, e), (None, f), (None, f), (4, f + " x"), (5, None), (5, None), (None, None), (6, leak), (6, g), (None, leak + " y")]
+    docs = make_docs([(i, t, "en", f"src{k % 2}") for k, (i, t) in enumerate(rows)]).select("doc_id", "text", "lang", "source", "n_chars")
+    spark.createDataFrame([(0, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(i, 1, 0) for i in range(7)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    pairs = lambda df: Counter((r["doc_id"], r["text"]) for r in df.collect())
+
+    kept = corpus_pipeline.classify_quality(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns and not pairs(kept) - Counter(rows)
+
+    # a text goes with its own near copies only, not with what shares its id
+    unique = corpus_pipeline.drop_near_duplicates(spark, docs, str(tmp_path))
+    want = [(1, a), (1, b), (2, c), (3, d), (None, e), (4, f + " x"), (5, None), (None, None), (6, leak), (6, g)]
+    assert unique.columns == docs.columns and pairs(unique) == Counter(want)
+
+    clean = corpus_pipeline.decontaminate(spark, docs, str(tmp_path))
+    assert clean.columns == docs.columns and pairs(clean) == Counter(r for r in rows if item not in (r[1] or ""))
+
+    mixed = corpus_pipeline.mix_sources(spark, docs, str(tmp_path))
+    taken = Counter()
+    for r in queries.mixing.mix(docs).collect():
+        taken[r["doc_id"], r["source"], r["size"]] += r["copies"]
+    got = Counter((r["doc_id"], r["source"], len((r["text"] or "").split())) for r in mixed.collect())
+    assert mixed.columns == docs.columns and got == +taken and any(i is None for i, *_ in got)
+    assert set(pairs(mixed)) <= set(rows)
+
+    assert Counter(r["doc_id"] for r in corpus_pipeline.shard(spark, docs, str(tmp_path)).collect()) == Counter(i for i, _ in rows)
+
+
 def test_names():
     assert [n for n in queries.QUERIES if re.match(r"op\d+_", n)] and len(queries.QUERIES) == 10
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality classifier", "near-duplicates", "decontamination", "mixing", "sharding"]

@@ -70,9 +70,9 @@ def mix(docs: DataFrame, seed: int = 17, **rule) -> DataFrame:
     return sample_to_targets(rows, seed=seed, **rule)
 
 
-def sample_to_targets(rows: DataFrame, seed: int = 17, **rule) -> DataFrame:
+def sample_to_targets(rows: DataFrame, seed: int = 17, keep: tuple[str, ...] = (), **rule) -> DataFrame:
     """``rows``: doc_id, source, size.  Systematic sampling to the targets of
-    ``source_targets(**rule)``."""
+    ``source_targets(**rule)``.  The columns ``keep`` of ``rows`` are returned too."""
     ranked = with_rank(rows, ["source", "size", "doc_id"])
     per = ranked.groupBy("source").agg(F.sum("size").alias("source_size"), F.min("rank").alias("__first"))
     targets = source_targets(per.select("source", "source_size"), **rule)
@@ -97,4 +97,5 @@ def sample_to_targets(rows: DataFrame, seed: int = 17, **rule) -> DataFrame:
         "target",
         copies.cast("int").alias("copies"),
         (copies * F.col("size")).cast("long").alias("taken"),
+        *keep,
     )

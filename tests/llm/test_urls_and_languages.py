@@ -131,3 +131,10 @@ def test_no_known_languages_and_empty(spark, make_docs):
     one = langid.identify(df, known(make_docs).limit(0)).collect()
     assert len(one) == 1 and one[0]["lang"] is None and one[0]["probability"] == 0
     assert langid.identify(df.limit(0), known(make_docs)).count() == 0
+
+
+def test_language_declared_after_long_preambles(spark, make_docs):
+    pages = ["<!-- " + "licence " * 1000 + '<html lang="en"> --><html lang="de">', " " * 9000 + "<html lang='fr'>", "<script>s = '<html lang=en>'</script>" + "<?x " + "y " * 5000 + "?>" + "<html class=a lang=de>", "<html><p>" + "z " * 5000]
+    df = spark.createDataFrame([(i, "http://a.org/", t) for i, t in enumerate(pages)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["declared"] for r in langid.identify(df, known(make_docs)).collect()}
+    assert got == {0: "de", 1: "fr", 2: "de", 3: None}

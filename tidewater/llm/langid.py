@@ -35,6 +35,7 @@ from .urlfilter import host_of
 
 BITS = 15
 _SKIP = re.compile(rb"<!--.*?-->|<(script|style)\b.*?</\1\s*>|<[^>]*>", re.S | re.I)
+_UNSEEN = re.compile(rb"<!--.*?-->|<(script|style)\b.*?</\1\s*>", re.S | re.I)
 _LANG = re.compile(rb"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]{2,3})", re.I)
 
 
@@ -44,7 +45,9 @@ def visible(html: bytes) -> bytes:
 
 
 def declared(html: bytes) -> str | None:
-    found = _LANG.search(html[:4096])
+    """The language that the page's markup declares, wherever in the page it
+    does; comments, scripts and styles declare nothing."""
+    found = _LANG.search(_UNSEEN.sub(b" ", html))
     return found.group(1).decode().lower() if found else None
 
 

@@ -51,3 +51,10 @@ def test_best_bin_first_reaches_every_leaf_once():
     assert sorted(tree.order(x[0])) == list(range(tree.leaves))
     assert tree.order(x[0], 5) == tree.order(x[0])[:5]
     assert tree.leaf_of(x).max() < tree.leaves
+
+
+def test_small_leaves_give_k_neighbours(spark, monkeypatch):
+    monkeypatch.setattr(ann, "_calibrate", lambda *a: 1)
+    x = np.random.default_rng(5).normal(size=(30, 4)).astype(np.float32)  # four leaves, so one holds 7 rows at most
+    got = ann.search(frame(spark, [(i, v.tolist()) for i, v in enumerate(x)]), F.col("id") >= 0).collect()
+    assert sorted((r["query_id"], r["rank"]) for r in got) == [(i, n) for i in range(30) for n in range(1, 11)]

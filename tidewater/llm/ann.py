@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -101,16 +102,19 @@ class Tree:
 
     def order(self, q: np.ndarray, visits: int | None = None) -> list[int]:
         """The first ``visits`` leaves, best bin first."""
-        heap, out = [(0.0, 0)], []
-        while heap and (visits is None or len(out) < visits):
+        return list(islice(self.bins(q), visits))
+
+    def bins(self, q: np.ndarray) -> Iterator[int]:
+        """All leaves, best bin first."""
+        heap = [(0.0, 0)]
+        while heap:
             _, at = heapq.heappop(heap)
             if at < 0:
-                out.append(~at)
+                yield ~at
                 continue
             centres, children = self.nodes[at]
             for d, child in zip(((centres - q) ** 2).sum(axis=1), children):
                 heapq.heappush(heap, (float(d), child))
-        return out
 
 
 def top(queries: np.ndarray, qids: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -186,17 +190,22 @@ def search(rows: DataFrame, is_query: Column, k: int = 10, recall: float = 0.95,
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(shared.value.leaf_of(matrix(b.column("v"))))], ["id", "v", "leaf"])
 
     indexed = scratch.table(vectors.mapInArrow(assign, "id long, v array<double>, leaf long"), "leaves")
-    splits = {r["leaf"]: -(-r["count"] // GROUP) for r in indexed.groupBy("leaf").count().collect()}  # a row for each leaf
+    sizes_of = {r["leaf"]: r["count"] for r in indexed.groupBy("leaf").count().collect()}  # a row for each leaf
+    splits = {leaf: -(-n // GROUP) for leaf, n in sizes_of.items()}
     queries = indexed.where(is_query)
     probe = [(r["id"], r["v"]) for r in first_by_hash(queries, "id", probes).collect()]
     visits = _calibrate(tree, indexed, probe, k, recall)
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = matrix(b.column("v")) if b.num_rows else []
+            x, own = matrix(b.column("v")) if b.num_rows else [], b.column("own").to_pylist()
             at, leaf, part = [], [], []
             for i in range(b.num_rows):
-                for bin_ in shared.value.order(x[i], visits):
+                rows = 0
+                for n, bin_ in enumerate(shared.value.bins(x[i])):
+                    if n >= visits and rows >= k + own[i]:  # beyond the calibrated visits only while candidates are short
+                        break
+                    rows += sizes_of.get(bin_, 0)
                     for p in range(splits.get(bin_, 0)):
                         at.append(i)
                         leaf.append(bin_)
@@ -204,7 +213,7 @@ def search(rows: DataFrame, is_query: Column, k: int = 10, recall: float = 0.95,
             taken = b.take(pa.array(at, pa.int64()))
             yield pa.RecordBatch.from_arrays([taken.column("id"), taken.column("v"), pa.array(leaf, pa.int64()), pa.array(part, pa.int32())], ["id", "v", "leaf", "part"])
 
-    asked = queries.select("id", "v").mapInArrow(visit, "id long, v array<double>, leaf long, part int")
+    asked = queries.select("id", "v", F.count("*").over(Window.partitionBy("id")).alias("own")).mapInArrow(visit, "id long, v array<double>, leaf long, part int")
     sizes = F.create_map(*[F.lit(x) for pair in splits.items() for x in pair])
     dealt = indexed.withColumn("part", F.pmod(F.xxhash64("id"), sizes[F.col("leaf")]).cast("int"))
 

@@ -1,12 +1,14 @@
 """Intermediate results in the folder that all executors share.
 
 The folder is the one the session names in ``spark.checkpoint.dir``.  Only
-where that is unset (a laptop, the tests) is a temporary folder made.
+where that is unset and the master is local (a laptop, the tests) is a temporary
+folder made; on a cluster without the setting nothing runs.
 """
 
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 from urllib.parse import urlparse
@@ -19,10 +21,13 @@ _WRITTEN: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder, without a trailing slash."""
+    """The shared folder, without a trailing slash.  Raises ValueError where it is
+    not set and executors do not share the driver's file system."""
     found = spark.sparkContext.getConf().get(_SETTING) or spark.conf.get(_SETTING, None)
     if not found:
         app = spark.sparkContext.applicationId
+        if not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
+            raise ValueError(f"set {_SETTING} to a folder that all executors share")
         if app not in _OWN:
             _OWN[app] = "file://" + tempfile.mkdtemp(prefix="tidewater-")
         found = _OWN[app]

@@ -1,6 +1,8 @@
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
+
+import numpy as np
 
 from tidewater.llm import sharding
 
@@ -28,12 +30,40 @@ def test_documents(make_docs):
     assert set(load) == set(range(8)) and max(load.values()) - min(load.values()) <= 0.01 * sum(load.values())
 
 
-def test_same_as_plain_lpt_when_all_groups_are_large(spark):
-    sizes = [100, 90, 80, 70, 60, 50, 40, 30]
-    rows = spark.createDataFrame([(bytearray([k]), s) for k, s in enumerate(sizes)], "g binary, size long")
-    got = {bytes(r["g"])[0]: r["shard"] for r in sharding.assign_shards(rows, "g", "size", 3).collect()}
-    want = sharding.lpt([(s, k) for k, s in enumerate(sizes)], 3)
-    assert got == want
+def test_classes_equal_plain_lpt():
+    for seed in range(60):
+        rng = random.Random(seed)
+        shards = rng.randrange(1, 9)
+        sizes = [rng.randrange(1, rng.choice([3, 20, 300])) for _ in range(rng.randrange(0, 900))]
+        placed = sharding.lpt([(s, k) for k, s in enumerate(sizes)], shards)
+        classes = sorted(set(sizes), reverse=True)
+        want = np.zeros((len(classes), shards), int)
+        for k, s in enumerate(sizes):
+            want[classes.index(s), placed[k]] += 1
+        got = sharding.lpt_classes(np.array(classes, int), np.array([sizes.count(s) for s in classes], int), shards)
+        assert (got == want).all()
+
+
+def test_every_group_is_scheduled_by_its_size(make_docs):
+    rng = random.Random(4)
+    texts = [f"{rng.randrange(10**9)}" + "t" * int(rng.expovariate(0.02)) for _ in range(900)]
+    texts += [rng.choice(texts) for _ in range(600)] + ["copy"] * 500 + [None, None, "", ""]
+    got = sharding.shard_documents(make_docs([(i, t, "en", "s") for i, t in enumerate(texts)]), 7).collect()
+    size = lambda t: len((t or "").encode()) + 1
+    groups = Counter()
+    for t in texts:
+        groups[t] += size(t)
+    placed = sharding.lpt([(s, repr(t)) for t, s in groups.items()], 7)
+    want = [Counter() for _ in range(7)]  # sizes of the groups in each shard; equal ones are interchangeable
+    for t, s in groups.items():
+        want[placed[repr(t)]][s] += 1
+    have, seen = [Counter() for _ in range(7)], {}
+    for r in got:
+        seen[texts[r["doc_id"]]] = r["shard"]
+    for t, shard in seen.items():
+        have[shard][groups[t]] += 1
+    assert have == want
+    assert all(seen[texts[r["doc_id"]]] == r["shard"] for r in got)
 
 
 def test_odd_rows_and_empty_table(odd_docs):

@@ -67,7 +67,7 @@ def source_targets(
 def mix(docs: DataFrame, seed: int = 17, **rule) -> DataFrame:
     """Per document: doc_id, size, source_size, target, copies, taken (and source)."""
     rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    return sample_to_targets(rows, seed=seed, **rule)
+    return sample_to_targets(scratch.table(rows, "sizes"), seed=seed, **rule)  # texts are counted once, not once a pass
 
 
 def sample_to_targets(rows: DataFrame, seed: int = 17, keep: tuple[str, ...] = (), **rule) -> DataFrame:

@@ -66,11 +66,43 @@ def test_planted_items_are_found_and_others_not(spark, make_docs, odd_docs):
     assert decontam.contaminated(make_docs([(1, part + " and so on", "en", "s")]), bench).count() == 0
 
 
-def test_parts_of_a_large_benchmark(spark, make_docs, monkeypatch):
-    monkeypatch.setattr(decontam, "PART_ITEMS", 5)
-    bench = spark.createDataFrame([(k, f"alpha{k} beta{k} gamma{k} delta{k} eps{k}") for k in range(17)], "item_id long, text string")
-    docs = make_docs([(k, f"so alpha{k} beta{k} gamma{k} delta{k} eps{k} it is", "en", "s") for k in range(17)])
-    assert sorted((r["doc_id"], r["item_id"]) for r in decontam.contaminated(docs, bench).collect()) == [(k, k) for k in range(17)]
+def test_scores_do_not_depend_on_the_cut(spark, make_docs, monkeypatch):
+    rng = random.Random(8)
+    word = lambda: f"z{min(int(rng.expovariate(0.01)), 900)}"
+    items = [(k, " ".join(word() for _ in range(rng.randrange(6, 40))) + ". " + " ".join(word() for _ in range(8)) + ".") for k in range(120)]
+    items += [(500, " ".join(word() for _ in range(300)))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = []
+    for i in range(150):
+        text = [word() for _ in range(rng.randrange(0, 200))]
+        own = rng.choice(items)[1].split()
+        text[5:5] = own[: rng.randrange(len(own) // 2, len(own) + 1)]
+        docs.append((i, " ".join(text), "en", "s"))
+    docs = make_docs(docs)
+    found = lambda: sorted((r["doc_id"], r["item_id"], round(r["score"], 9), round(r["overlap"], 9)) for r in decontam.contaminated(docs, bench, theta=0.4).collect())
+    whole = found()
+    assert len(whole) > 25
+    monkeypatch.setattr(decontam, "INDEX_ITEMS", 7)
+    assert found() == whole
+    monkeypatch.setattr(decontam, "BROADCAST_BYTES", 1)  # a pass for each index
+    assert found() == whole
+    left = decontam.without_items(docs, bench, theta=0.4)
+    assert left.columns == docs.columns
+    assert {r["doc_id"] for r in left.collect()} == set(range(150)) - {r[0] for r in whole}
+
+
+def test_long_items_are_verified_where_they_were_found(spark, make_docs):
+    rng = random.Random(9)
+    words = [f"y{k}" for k in range(400)]
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    filler = lambda n: [f"f{rng.randrange(10**6)}" for _ in range(n)]
+    whole = filler(1000) + words + filler(1000)
+    scattered = []  # the first entry, and the trigrams of the rest all over a long document
+    scattered += words[:128]
+    for k in range(128, 400, 4):
+        scattered += filler(200) + words[k : k + 4]
+    docs = make_docs([(1, " ".join(whole), "en", "s"), (2, " ".join(scattered), "en", "s")])
+    assert [(r["doc_id"], r["overlap"]) for r in decontam.contaminated(docs, bench).collect()] == [(1, 1.0)]
 
 
 def test_parts_of_one_and_two_words(spark, make_docs):

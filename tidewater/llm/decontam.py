@@ -15,11 +15,21 @@ lies whole in some passage.
 A retrieved item is verified in the passage: its last sentence counts as the
 answer and what precedes it as the question; both must overlap in word
 trigrams, or where one has fewer than three words, in all of its words as they
-follow each other (an item of one sentence has a question only).
+follow each other (an item of one sentence has a question only).  An item of
+several entries is verified in the stretch of its own length around the passage
+that one of its entries was found in.
+
+The items are cut into indexes of about ``INDEX_ITEMS``.  All of them weigh terms
+by the statistics of all items, which are counted in Spark, and use one stride,
+so scores do not depend on the cut.  Indexes are broadcast together up to
+``BROADCAST_BYTES`` for one pass over the documents; a larger benchmark takes a
+pass for each such portion.
 
 Nulls: null and empty texts and items without words match nothing.  Null ids
 are returned as nulls.  Repeated documents each return their matches; repeated
-items each match.  Empty tables give an empty result.
+items each match.  Ties in score are all kept.  Extra columns are not looked at;
+``keep`` may name any, but item_id, score and overlap, which are added.  Empty
+tables give an empty result.
 """
 
 from __future__ import annotations
@@ -32,14 +42,19 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import scratch
+from .rowkeys import free
 from .tokens import as_bytes, slices
 
 MAX_ENTRY = 128
-#: Items of one index; more are searched part by part.
-PART_ITEMS = 2_000
+#: Items of one index (its table of bounds has terms x blocks entries).
+INDEX_ITEMS = 2_000
+#: Indexes searched in one pass over the documents take this much at most (or are one).
+BROADCAST_BYTES = 256 << 20
 _PUNCTUATION = bytes.maketrans(_MARKS := b".,;:!?\"'()[]{}", b" " * len(_MARKS))
 
 
@@ -70,22 +85,40 @@ class _Terms(dict):
         return -1
 
 
+def entries_of(words: list[bytes]) -> list[list[bytes]]:
+    """The index entries of an item."""
+    return [words[at : at + MAX_ENTRY] for at in range(0, len(words), MAX_ENTRY)]
+
+
+class Statistics:
+    """Of all entries of all items: their number, mean and largest length, and how
+    many hold a term."""
+
+    def __init__(self, n: int, words: int, longest: int, df: dict[bytes, int]) -> None:
+        self.n, self.mean, self.longest, self.df = n, words / max(1, n), max(1, longest), df
+
+    @classmethod
+    def of(cls, entries: list[list[bytes]]) -> Statistics:
+        return cls(len(entries), sum(map(len, entries)), max(map(len, entries), default=0), Counter(t for e in entries for t in set(e)))
+
+
 class BlockMaxIndex:
     """Postings (entry, weight) by term and block of ``block`` entries, with the
-    largest weight of each term in each block."""
+    largest weight of each term in each block.  ``known``: the statistics of all
+    entries, of which these may be a part."""
 
-    def __init__(self, entries: list[list[bytes]], k1: float = 1.2, b: float = 0.75, block: int = 4) -> None:
+    def __init__(self, entries: list[list[bytes]], known: Statistics | None = None, k1: float = 1.2, b: float = 0.75, block: int = 4) -> None:
         self.n, self.block, self.blocks = len(entries), block, -(-len(entries) // block)
-        counts = [Counter(e) for e in entries]
-        df = Counter(t for c in counts for t in c)
-        mean = sum(map(len, entries)) / max(1, self.n)
-        self.term = _Terms((t, i) for i, t in enumerate(sorted(df)))
+        known = known or Statistics.of(entries)
+        counts, df, mean = [Counter(e) for e in entries], known.df, known.mean
+        own = {t for c in counts for t in c}
+        self.term = _Terms((t, i) for i, t in enumerate(sorted(own)))
         self.lists: list[dict[int, tuple[list[int], list[float]]]] = [{} for _ in self.term]
         self.most = np.zeros((len(self.term), self.blocks), np.float32)
         for d, c in enumerate(counts):
             weight = {}
             for t, tf in c.items():
-                idf = math.log(1 + (self.n - df[t] + 0.5) / (df[t] + 0.5))
+                idf = math.log(1 + (known.n - df[t] + 0.5) / (df[t] + 0.5))
                 weight[t] = idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * len(entries[d]) / max(mean, 1e-9)))
             total = sum(weight.values())
             for t, w in weight.items():
@@ -159,21 +192,27 @@ def _position(cursor: list) -> int:
 class Matcher:
     """The index with what verification and the first pass need."""
 
-    def __init__(self, items: list[tuple[int | None, str]], theta: float, overlap: float) -> None:
+    def __init__(self, items: list[tuple[int | None, str]], theta: float, overlap: float, known: Statistics | None = None) -> None:
         self.theta, self.overlap = theta, overlap
         self.ids = [i for i, _ in items]
         self.parts = [[(min(3, len(p)), grams(p)) for p in question_and_answer(t) if p] for _, t in items]
-        entries, self.owner, self.long = [], [], []
+        entries, self.owner, self.place = [], [], []
+        self.spans = []
         for k, (_, text) in enumerate(items):
-            words = normal_words(text.encode())
-            self.long.append(len(words) > MAX_ENTRY)
-            for at in range(0, len(words), MAX_ENTRY):
-                entries.append(words[at : at + MAX_ENTRY])
-                self.owner.append(k)
-        self.stride = max(map(len, entries), default=1)
-        self.index = BlockMaxIndex(entries)
+            own = entries_of(normal_words(text.encode()))
+            entries += own
+            self.owner += [k] * len(own)
+            self.place += range(len(own))
+            self.spans.append(len(own))
+        known = known or Statistics.of(entries)
+        self.stride = known.longest
+        self.index = BlockMaxIndex(entries, known)
         self.needed, self.aside = self.index.partition(theta / 2)
 
+    def size(self) -> int:
+        """About so many bytes are broadcast."""
+        return self.index.most.nbytes + 200 * sum(len(d) for t in self.index.lists for d, _ in t.values()) + 200 * sum(len(g) for p in self.parts for _, g in p)
+
     def passages(self, ids: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
         """(text, passage, blocks) that can reach ``theta``, for texts whose index
         terms are ``ids`` (-1: not indexed).  A passage's bound in a block is the
@@ -214,18 +253,14 @@ class Matcher:
             span = ids[begins[t] + a : begins[t] + b]
             hits = self.index.search(np.unique(span[span >= 0]).tolist(), self.theta, blocks)
             for entry, weight in hits:
-                k = self.owner[entry]
-                share = 1.0 if self.long[k] else self._overlap(k, texts[t][a:b])
+                k, words = self.owner[entry], texts[t][a:b]
+                if self.spans[k] > 1:  # the item begins about so many words before its entry
+                    begin = max(0, a - (self.place[entry] + 1) * self.stride)
+                    words = texts[t][begin : a + (self.spans[k] - self.place[entry] + 2) * self.stride]
+                share = self._overlap(k, words)
                 if share >= self.overlap:
                     old = best[t].get(k, (0.0, 0.0))
                     best[t][k] = (max(old[0], weight), max(old[1], share))
-        for t, found in enumerate(best):
-            for k in [k for k in found if self.long[k]]:  # longer than a passage: verified in the whole text
-                share = self._overlap(k, texts[t])
-                if share >= self.overlap:
-                    found[k] = (found[k][0], share)
-                else:
-                    del found[k]
         return best
 
     def _overlap(self, item: int, words: list[bytes]) -> float:
@@ -236,37 +271,104 @@ class Matcher:
         return min((len(g & text[n]) / len(g) for n, g in parts), default=0.0)
 
 
+def statistics(items: DataFrame) -> DataFrame:
+    """term, df of the entries of ``items`` (item_id, t); the rows with a null
+    term hold the number of entries, their words and the longest."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df: Counter = Counter()
+        n = words = longest = 0
+        for b in slices(batches, "t"):
+            for text in as_bytes(b.column("t")):
+                for e in entries_of(normal_words(text)):
+                    df.update(set(e))
+                    n, words, longest = n + 1, words + len(e), max(longest, len(e))
+            if len(df) > 200_000:
+                yield pa.RecordBatch.from_arrays([pa.array(df.keys(), pa.binary()), pa.array(df.values(), pa.int64()), *[pa.nulls(len(df), pa.int64())] * 2], ["term", "df", "words", "longest"])
+                df.clear()
+        yield pa.RecordBatch.from_arrays([pa.array([*df, None], pa.binary()), pa.array([*df.values(), n], pa.int64()), *[pa.array([None] * len(df) + [x], pa.int64()) for x in (words, longest)]], ["term", "df", "words", "longest"])
+
+    found = items.mapInArrow(run, "term binary, df long, words long, longest long")
+    return found.groupBy("term").agg(F.sum("df").alias("df"), F.sum("words").alias("words"), F.max("longest").alias("longest"))
+
+
+def matchers(items: DataFrame, theta: float, overlap: float) -> Iterator[Matcher]:
+    """Matchers over all items, one at a time; the driver holds one."""
+    usable = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("t")).where("t is not null")
+    order = lambda x: (x[0] is None, x[0] or 0, x[1])
+    parts = max(1, math.ceil(usable.count() / INDEX_ITEMS))
+    if parts == 1:
+        yield Matcher(sorted(((r[0], r[1]) for r in usable.collect()), key=order), theta, overlap)
+        return
+    known = scratch.table(statistics(usable), "terms")
+    total = known.where("term is null").first()
+    for part in range(parts):
+        some = usable.where(F.pmod(F.xxhash64("item_id", "t"), F.lit(parts)) == part)
+        own = known.join(statistics(some).select("term"), "term")  # the terms of this part only
+        df = {bytes(r["term"]): r["df"] for r in own.select("term", "df").collect()}
+        rows = sorted(((r[0], r[1]) for r in some.collect()), key=order)  # about INDEX_ITEMS
+        yield Matcher(rows, theta, overlap, Statistics(total["df"], total["words"], total["longest"], df))
+
+
+def _portions(spark: SparkSession, found: Iterator[Matcher]) -> Iterator[Broadcast]:
+    held, size = [], 0
+    for m in found:
+        if held and size + m.size() > BROADCAST_BYTES:
+            yield spark.sparkContext.broadcast(held)
+            held, size = [], 0
+        held.append(m)
+        size += m.size()
+    yield spark.sparkContext.broadcast(held)
+
+
 def contaminated(docs: DataFrame, items: DataFrame, theta: float = 0.5, overlap: float = 0.5, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """One row per document and item it contains: the columns ``keep``, item_id,
     score (share of the item's BM25 weight) and overlap."""
-    spark = docs.sparkSession
-    usable = items.select(F.col("item_id").cast("long"), F.col("text").cast("string").alias("t")).where("t is not null")
-    parts = max(1, math.ceil(usable.count() / PART_ITEMS))
-    rows = docs.select(*keep, F.col("text").alias("__text"))
+    (text,) = free([*keep], "text_read")
+    rows = docs.select(*keep, F.col("text").alias(text))
     out = None
-    for part in range(parts):
-        some = usable.where(F.pmod(F.xxhash64("item_id", "t"), F.lit(parts)) == part) if parts > 1 else usable
-        matcher = Matcher(sorted(((r[0], r[1]) for r in some.toLocalIterator()), key=lambda x: (x[0] is None, x)), theta, overlap)
-        found = _scan(rows, spark.sparkContext.broadcast(matcher), keep)  # about PART_ITEMS items
+    for shared in _portions(docs.sparkSession, matchers(items, theta, overlap)):
+        found = _scan(rows, text, shared, keep)
         out = found if out is None else out.union(found)
     return out
 
 
-def _scan(rows: DataFrame, shared, keep: tuple[str, ...]) -> DataFrame:
+def _scan(rows: DataFrame, text: str, shared: Broadcast, keep: tuple[str, ...]) -> DataFrame:
     schema = rows.select(*keep).withColumns({"item_id": F.lit(None).cast("long"), "score": F.lit(0.0), "overlap": F.lit(0.0)}).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = shared.value
-        for b in slices(batches, "__text", 2 << 20):
+        for b in slices(batches, text, 2 << 20):
+            words = [normal_words(t) for t in as_bytes(b.column(text))]
             at, ids, scores, overlaps = [], [], [], []
-            for i, found in enumerate(matcher.matches([normal_words(t) for t in as_bytes(b.column("__text"))])):
-                for k, (score, share) in sorted(found.items()):
-                    at.append(i)
-                    ids.append(matcher.ids[k])
-                    scores.append(score)
-                    overlaps.append(share)
+            for matcher in shared.value:
+                for i, found in enumerate(matcher.matches(words)):
+                    for k, (score, share) in sorted(found.items()):
+                        at.append(i)
+                        ids.append(matcher.ids[k])
+                        scores.append(score)
+                        overlaps.append(share)
             part = b.take(pa.array(at, pa.int64()))
             arrays = [part.column(c) for c in keep] + [pa.array(ids, pa.int64()), pa.array(scores, pa.float64()), pa.array(overlaps, pa.float64())]
             yield pa.RecordBatch.from_arrays(arrays, schema.names)
 
     return rows.mapInArrow(run, schema)
+
+
+def without_items(docs: DataFrame, items: DataFrame, theta: float = 0.5, overlap: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, whole, that contain no item; rows are neither joined
+    nor shuffled."""
+    for shared in _portions(docs.sparkSession, matchers(items, theta, overlap)):
+        docs = _clean(docs, shared)
+    return docs
+
+
+def _clean(docs: DataFrame, shared: Broadcast) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text", 2 << 20):
+            words = [normal_words(t) for t in as_bytes(b.column("text"))]
+            fine = np.ones(len(words), bool)
+            for matcher in shared.value:
+                fine &= [not found for found in matcher.matches(words)]
+            yield b.filter(pa.array(fine))
+
+    return docs.mapInArrow(run, docs.schema)

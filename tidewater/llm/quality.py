@@ -7,12 +7,15 @@ squares of ``v_i x_i``, so a text costs time linear in its distinct words.
 Features: hashed words (weights log(1 + count), scaled to length 1), numbers
 that describe the structure of the text, and buckets of given metadata columns.
 
-Training takes a bounded sample (``rows`` documents of at most ``max_words``
-words), of which a fifth turns raw scores into probabilities.
+Training takes a bounded sample: ``rows`` documents, whole, however long.  The
+driver gets their features, at most 2**bits numbers of a document.  A fifth of
+the sample turns raw scores into probabilities.
 
 Nulls: a null text counts as empty; a null metadata value has a bucket of its
-own.  Empty texts have structure and metadata only.  Repeated rows get equal
-scores.  Without usable labels all scores are 0.5.
+own; a null id is scored and never trained on.  Empty texts have structure and
+metadata only.  Repeated rows, and ties, get equal scores.  Without usable labels
+all scores are 0.5.  Empty tables give an empty result.  Names of ``keep`` may
+clash with nothing but ``names``, the names of the two columns that are added.
 """
 
 from __future__ import annotations
@@ -143,21 +146,18 @@ def hash_text(text: str) -> int:
     return xxhash.xxh64_intdigest(text)
 
 
-def train(sample: DataFrame, meta_cols: list[str], max_words: int = 3000, **shape) -> FactorisationMachine:
+def train(sample: DataFrame, meta_cols: list[str], **shape) -> FactorisationMachine:
     """``sample``: doc_id, text, label and ``meta_cols``; bounded by the caller."""
     model = FactorisationMachine(**shape)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
         for b in slices(batches, "text"):
-            texts = as_bytes(b.column("text"))
-            keep = [i for i, t in enumerate(texts) if len(words_of(t)) <= max_words]
-            part = b.take(pa.array(keep, pa.int64()))
-            meta = list(zip(*[part.column(c).to_pylist() for c in meta_cols])) or [[]] * len(keep)
-            ids, values, lengths = model.features([texts[i] for i in keep], meta, hasher)
+            meta = list(zip(*[b.column(c).to_pylist() for c in meta_cols])) or [[]] * b.num_rows
+            ids, values, lengths = model.features(as_bytes(b.column("text")), meta, hasher)
             ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
             lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x)) for x in (ids, values)]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), *lists], ["doc_id", "label", "ids", "xs"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("label"), *lists], ["doc_id", "label", "ids", "xs"])
 
     got = sample.select("doc_id", "label", "text", *meta_cols).mapInArrow(run, "doc_id long, label int, ids array<int>, xs array<float>").toArrow()
     label = got["label"].to_numpy().astype(np.float64)
@@ -176,24 +176,30 @@ def train(sample: DataFrame, meta_cols: list[str], max_words: int = 3000, **shap
     return model
 
 
-def score_texts(docs: DataFrame, model: FactorisationMachine, keep: list[str], meta_cols: list[str], text_col: str = "text") -> DataFrame:
-    """``keep`` columns of ``docs`` plus ``score``, over whole texts."""
+def score_texts(docs: DataFrame, model: FactorisationMachine, keep: list[str], meta_cols: list[str], text_col: str = "text", name: str = "score") -> DataFrame:
+    """``keep`` columns of ``docs`` plus the score as ``name``, over whole texts."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a few MB, whatever the input
-    rows = docs.select(*keep, *[F.col(c).alias(f"__m{k}") for k, c in enumerate(meta_cols)], F.col(text_col).alias("__text"))
+    # columns are read under numbers, so names never clash; a kept column is not sent twice
+    inputs = list(dict.fromkeys([*keep, *meta_cols, text_col]))
+    at = {c: f"c{k}" for k, c in enumerate(inputs)}
+    rows = docs.select(*[F.col(f"`{c}`").alias(at[c]) for c in inputs])
+    text = at[text_col]
+    out = rows.select(*[at[c] for c in keep]).withColumn("s", F.lit(0.0)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, hasher = shared.value, WordHasher()
-        for b in slices(batches, "__text", 4 << 20):
-            meta = list(zip(*[b.column(f"__m{k}").to_pylist() for k in range(len(meta_cols))])) or [[]] * b.num_rows
-            score = model.score(*model.features(as_bytes(b.column("__text")), meta, hasher))
-            yield pa.RecordBatch.from_arrays([b.column(c) for c in keep] + [pa.array(score, pa.float64())], [*keep, "score"])
+        for b in slices(batches, text, 4 << 20):
+            meta = list(zip(*[b.column(at[c]).to_pylist() for c in meta_cols])) or [[]] * b.num_rows
+            score = model.score(*model.features(as_bytes(b.column(text)), meta, hasher))
+            yield pa.RecordBatch.from_arrays([b.column(at[c]) for c in keep] + [pa.array(score, pa.float64())], out.names)
 
-    return rows.mapInArrow(run, rows.select(*keep).withColumn("score", F.lit(0.0)).schema)
+    return rows.mapInArrow(run, out).toDF(*keep, name)
 
 
-def quality(docs: DataFrame, labels: DataFrame, learn_from: Column, rows: int = 6000, threshold: float = 0.3, meta_cols: tuple[str, ...] = ("n_chars",), keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep``, score (probability of label 1) and predicted."""
+def quality(docs: DataFrame, labels: DataFrame, learn_from: Column, rows: int = 6000, threshold: float = 0.3, meta_cols: tuple[str, ...] = ("n_chars",), keep: tuple[str, ...] = ("doc_id",), names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """The columns ``keep``, the score (probability of label 1) and whether it
+    reaches ``threshold`` (1 or 0), under ``names``."""
     meta = [c for c in meta_cols if c in docs.columns]
     model = train(training_sample(docs, labels, "quality", learn_from, rows, meta), meta)
-    scored = score_texts(docs, model, list(keep), meta)
-    return scored.select(*keep, "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    scored = score_texts(docs, model, list(keep), meta, name=names[0])
+    return scored.withColumn(names[1], (F.col(names[0]) >= threshold).cast("int"))

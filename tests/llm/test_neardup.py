@@ -1,6 +1,8 @@
 import random
+from collections import defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tidewater.llm import neardup
 from tidewater.llm.components import components
@@ -63,9 +65,41 @@ def test_crowded_keys_are_resolved_in_blocks(spark, make_docs, monkeypatch):
     rng = random.Random(5)
     rows = list(enumerate(family(rng, 90, 150, 14)))
     crossing = neardup._crossing
-    monkeypatch.setattr(neardup, "_crossing", lambda *a: crossing(*a, block=16))
+    asked = []
+    monkeypatch.setattr(neardup, "_crossing", lambda *a: asked.append(a[-1]) or crossing(*a, block=16))
     got = neardup.near_duplicates(make_docs([(i, t, "en", "s") for i, t in rows]), 85)
     assert {r["doc_id"]: r["component_id"] for r in got.collect()} == brute(rows, 85)
+    assert asked == [True, False]
+
+
+def test_a_crowded_key_of_one_family_costs_its_strangers_only(spark):
+    n, slots = 4000, 32
+    placed = spark.range(n).select(F.lit(1).cast("long").alias("key"), F.lit(0).alias("slot"), "id", F.when(F.col("id") < n - 3, 0).otherwise(F.col("id")).cast("long").alias("comp"))
+    sig = np.arange(slots, dtype=np.uint16).tobytes()
+    reps = spark.range(n).select("id", F.lit(bytearray(sig)).alias("sig"))
+    wide = spark.range(n).select("id", F.lit(bytearray(neardup.WIDE)).alias("wide"), F.lit(100).cast("long").alias("size"))
+    for nearest, pairs in ((True, 3 * 4 + 3), (False, 3 * (n - 3) + 3)):  # blocks of 1024: four; and the strangers with one another
+        got = neardup._crossing(placed, reps, wide, slots, 15, 85, nearest)
+        assert got.count() == pairs
+    sent = neardup._mixed(placed).first()
+    assert (sent["main"], sent["n"], sent["s"]) == (0, n, 3)
+
+
+def test_ids_that_repeat_with_other_texts(make_docs):
+    """Each row is a document: a second, unrelated text under an id changes nothing."""
+    rng = random.Random(11)
+    texts = family(rng, 60, 100, 12)
+    other = [" ".join(f"o{rng.randrange(10**6)}" for _ in range(60)) for _ in texts]
+    want = brute(list(enumerate(texts)), 85)
+    assert 1 < len(set(want.values())) < 60
+    rows = [(i, t, "en", "s") for i, t in enumerate(texts)] + [(i, t, "en", "s") for i, t in enumerate(other)]
+    rows += rows[:20]  # and repeated rows
+    got = neardup.near_duplicates(make_docs(rows), 85).collect()
+    by = defaultdict(list)
+    for r in got:
+        by[r["doc_id"]].append(r["component_id"])
+    for i in want:
+        assert sorted(by[i]) == sorted([want[i]] * (2 if i < 20 else 1) + [i])
 
 
 def test_odd_rows(odd_docs):

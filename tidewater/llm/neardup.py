@@ -11,20 +11,27 @@ each document is listed under every chunk with each one of its slots left out
 threshold exceeds the distance with a probability below 1e-5.
 
 Keys held by several documents link them as follows; no key's documents are
-ever gathered or paired with one another.
-
-1. Documents with equal sets are one document (its smallest id).
-2. Each document is compared with the smallest id of the keys it shares most
-   often (one comparison a document), on full shingle sets.
-3. Where a key still holds several components, its documents are compared by
-   signature, block by block; pairs of different components that neither the
-   distance nor set sizes nor long signatures refute are compared on full sets.  Blocks have bounded size, so a key with
-   any number of documents is spread over tasks.
+ever gathered or all paired with one another.
+
+1. Documents with equal sets are one node, whatever their ids.
+2. Each node is compared with the first node of the keys it shares most often
+   (one comparison a node), on full shingle sets.
+3. Where a key still holds several components, the nodes outside its largest one
+   (strangers) are compared with all others of the key by signature, block by
+   block, and what neither the distance nor set sizes nor long signatures refute
+   is compared on full sets: first the nearest of each other component only,
+   which joins most of what belongs together, then all that are still apart.
+   The work on a key is its strangers times its nodes, so linear where nearly
+   all belong together; blocks have bounded size, so a key with any number of
+   nodes is spread over tasks.
 
 Nulls: a row with a null id is never linked; its component is null and it is
 kept.  Null and empty texts, and texts without words, have the empty set and
 are linked with nothing.  With fewer than five words the whole sequence is one
-shingle.  Rows that repeat an id and text share their component.
+shingle.  Rows that repeat an id and text share their component; rows that
+repeat an id with other texts are documents of their own, each with the
+smallest id among the rows it is linked with.  Only doc_id and text are looked
+at, whatever other columns there are.  Empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -100,8 +107,9 @@ def chunk_keys(signatures: np.ndarray) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, chunks: int, width: int = 5) -> DataFrame:
-    """Per row: doc_id, n_shingles, digest (of the whole set), sig; whole texts."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
+    """Per row: doc_id, text_hash, n_shingles, digest (of the whole set), sig;
+    whole texts."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.col("text").alias("text"))
     flips, factors = _constants(CHUNK * chunks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,11 +122,23 @@ def sketch(docs: DataFrame, chunks: int, width: int = 5) -> DataFrame:
                 digests.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
                 sigs.append(signature(found, flips, factors).tobytes() if len(found) else None)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(sigs, pa.binary())],
-                ["doc_id", "n_shingles", "digest", "sig"],
+                [b.column("doc_id"), b.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(sigs, pa.binary())],
+                ["doc_id", "text_hash", "n_shingles", "digest", "sig"],
             )
 
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, digest binary, sig binary")
+    return rows.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, digest binary, sig binary")
+
+
+def nodes(sketched: DataFrame) -> DataFrame:
+    """One row for each distinct set: id (a number, ascending with doc_id),
+    digest, sig, and doc_id and text_hash of the row that stands for it (the
+    smallest id)."""
+    usable = sketched.where("digest is not null and doc_id is not null")
+    found = usable.groupBy("digest").agg(F.min(F.struct("doc_id", "text_hash")).alias("at"), F.first("sig").alias("sig"))
+    found = scratch.table(found.select("digest", "sig", "at.*"), "sets")
+    n = int(sketched.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = found.repartitionByRange(n, "doc_id", "text_hash").sortWithinPartitions("doc_id", "text_hash")
+    return scratch.table(dealt.withColumn("id", F.monotonically_increasing_id()), "nodes")
 
 
 def first_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -165,10 +185,10 @@ def _within(pairs: DataFrame, reps: DataFrame, slots: int, most: int) -> DataFra
     return joined.mapInArrow(run, "a long, b long")
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, percent: int, width: int) -> DataFrame:
+def _confirm(pairs: DataFrame, reps: DataFrame, docs: DataFrame, percent: int, width: int) -> DataFrame:
     """The pairs whose full shingle sets have 100 * intersection >= percent * union."""
-    ids = scratch.table(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "ids")
-    texts = scratch.table(_texts(ids, docs), "texts")
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    texts = scratch.table(_texts(ids, reps, docs), "texts")
     both = (
         pairs.join(texts.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b")
         .join(texts.select(F.col("id").alias("a"), F.col("t").alias("ta")), "a")
@@ -192,8 +212,8 @@ def _confirm(pairs: DataFrame, docs: DataFrame, percent: int, width: int) -> Dat
     return both.mapInArrow(run, "a long, b long")
 
 
-def _wide(ids: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """id, wide, n: long signatures of the documents ``ids`` and their set sizes."""
+def _wide(ids: DataFrame, reps: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """id, wide, size: long signatures of the nodes ``ids`` and their set sizes."""
     flips, factors = _constants(WIDE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,60 +223,81 @@ def _wide(ids: DataFrame, docs: DataFrame, width: int) -> DataFrame:
             sigs = [signature(x, flips, factors, 512).astype(np.uint8).tobytes() for x in sets]
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(sigs, pa.binary()), pa.array([len(x) for x in sets], pa.int64())], ["id", "wide", "size"])
 
-    texts = _texts(ids, docs).where("length(t) > 0").dropDuplicates(["id"])
-    return texts.mapInArrow(run, "id long, wide binary, size long")
+    return _texts(ids, reps, docs).mapInArrow(run, "id long, wide binary, size long")
 
 
-def _texts(ids: DataFrame, docs: DataFrame) -> DataFrame:
-    """id, t of the documents ``ids`` (one column, distinct, written already)."""
-    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    return docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("t")).join(wanted, "id")
+def _texts(ids: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
+    """id, t of the nodes ``ids`` (one column, distinct).  A node's text is that
+    of the row with its doc_id and the hash of its text, once however often that
+    row is repeated."""
+    wanted = scratch.table(reps.join(ids, "id").select("id", "doc_id", "text_hash"), "wanted")
+    few = wanted.count() <= BROADCAST_IDS
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.col("text").alias("t"))
+    return texts.join(F.broadcast(wanted) if few else wanted, ["doc_id", "text_hash"]).select("id", "t").dropDuplicates(["id"])
 
 
-def _crossing(members: DataFrame, reps: DataFrame, docs: DataFrame, slots: int, most: int, percent: int, width: int, block: int = 1024) -> DataFrame:
+def _mixed(placed: DataFrame) -> DataFrame:
+    """key, main, n, s of the keys that hold several components: their largest
+    one, their nodes, and the strangers among them."""
+    parts = placed.groupBy("key", "comp").agg(F.count("*").alias("own"))
+    found = parts.groupBy("key").agg(F.max(F.struct("own", "comp")).alias("most"), F.sum("own").alias("n"))
+    return found.where("most.own < n").select("key", F.col("most.comp").alias("main"), "n", (F.col("n") - F.col("most.own")).alias("s"))
+
+
+def _crossing(placed: DataFrame, reps: DataFrame, wide: DataFrame, slots: int, most: int, percent: int, nearest: bool, block: int = 1024) -> DataFrame:
     """Pairs (a < b) of different components that share a key, lie within the
-    distance and are not refuted by set sizes or long signatures.  ``members``:
-    key, slot, id, comp, n (documents under the key).  A pair is compared under
-    the first key it shares and passed over under the others."""
-    wide = scratch.table(_wide(scratch.table(members.select("id").distinct(), "ids"), docs, width), "wide")
+    distance and are not refuted by set sizes or long signatures.  ``placed``:
+    key, slot, id, comp.  A pair is compared under the first key it shares and
+    passed over under the others.  ``nearest``: of the pairs of a stranger with a
+    component in a block, the nearest only."""
     far_wide = allowed(WIDE, percent / 100)
-    blocks = F.ceil(F.col("n") / block).cast("int")
-    dealt = members.withColumn("own", F.pmod(F.xxhash64("id"), blocks).cast("int"))
-    # documents in block i meet those in block j once, at (min(i, j), max(i, j))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = dealt.select("key", "slot", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "comp")
-    dealt = dealt.join(reps.select("id", "sig").dropDuplicates(["id"]), "id").join(wide, "id")
+    dealt = placed.join(_mixed(placed), "key").join(reps.select("id", "sig"), "id").join(wide, "id")
+    members, strangers = F.ceil(F.col("n") / block).cast("int"), F.ceil(F.col("s") / block).cast("int")
+    at = lambda blocks: F.pmod(F.xxhash64("id"), blocks).cast("int")
+    every = lambda blocks: F.explode(F.sequence(F.lit(0), blocks - 1))
+    columns = ["key", "slot", "id", "comp", "main", "sig", "wide", "size"]
+    left = dealt.where("comp != main").select(*columns, F.lit(True).alias("asks"), every(members).alias("i"), at(strangers).alias("j"))
+    right = dealt.select(*columns, F.lit(False).alias("asks"), at(members).alias("i"), every(strangers).alias("j"))
 
     def run(table: pa.Table) -> pa.Table:
-        own, ids, comp, size = (table.column(c).to_numpy() for c in ("own", "id", "comp", "size"))
-        i, j, slot = (table.column(c)[0].as_py() for c in ("i", "j", "slot"))
+        asks, ids, comp, size = (table.column(c).to_numpy() for c in ("asks", "id", "comp", "size"))
+        slot, main = table.column("slot")[0].as_py(), table.column("main")[0].as_py()
         sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(-1, slots)
         longs = np.frombuffer(b"".join(table.column("wide").to_pylist()), np.uint8).reshape(-1, WIDE)
-        left = np.flatnonzero(own == i)
-        right = np.flatnonzero(own == j)
-        a, b = [], []
-        for at in range(0, len(left), 128):
-            rows = left[at : at + 128]
-            far = np.zeros((len(rows), len(right)), np.uint8)
+        by_size = np.argsort(size, kind="stable")
+        left, right = by_size[asks[by_size]], by_size[~asks[by_size]]
+        sizes, a, b = size[right], [], []
+        for k in range(0, len(left), 128):
+            rows = left[k : k + 128]
+            # sets of like sizes only: 100 * smaller >= percent * larger
+            low, high = np.searchsorted(sizes, -(-size[rows[0]] * percent // 100)), np.searchsorted(sizes, size[rows[-1]] * 100 // percent, "right")
+            others = right[low:high]
+            far = np.zeros((len(rows), len(others)), np.uint8)
             for s in range(slots):
-                far += sigs[rows, s][:, None] != sigs[right, s][None, :]
-            x, y = np.nonzero((far <= most) & (comp[rows][:, None] != comp[right][None, :]))
-            x, y = rows[x], right[y]
-            once = ids[x] < ids[y] if i == j else np.ones(len(x), bool)
-            x, y = x[once], y[once]
-            fits = 100 * np.minimum(size[x], size[y]) >= percent * np.maximum(size[x], size[y])
+                far += sigs[rows, s][:, None] != sigs[others, s][None, :]
+            x, y = np.nonzero((far <= most) & (comp[rows][:, None] != comp[others][None, :]))
+            x, y = rows[x], others[y]
+            once = (comp[y] == main) | (ids[x] < ids[y])  # two strangers meet twice
+            fits = once & (100 * np.minimum(size[x], size[y]) >= percent * np.maximum(size[x], size[y]))
             x, y = x[fits], y[fits]
-            for k in range(0, len(x), 4096):
-                u, v = x[k : k + 4096], y[k : k + 4096]
+            for m in range(0, len(x), 4096):
+                u, v = x[m : m + 4096], y[m : m + 4096]
                 first = first_shared(sigs[u], sigs[v]) == slot
                 u, v = u[first], v[first]
-                near = (longs[u] != longs[v]).sum(axis=1) <= far_wide
-                a.append(ids[u[near]])
-                b.append(ids[v[near]])
+                apart = (longs[u] != longs[v]).sum(axis=1)
+                near = apart <= far_wide
+                u, v, apart = u[near], v[near], apart[near]
+                if nearest and len(u):
+                    order = np.lexsort((ids[v], apart, comp[v], u))
+                    u, v = u[order], v[order]
+                    least = np.concatenate([[True], (u[1:] != u[:-1]) | (comp[v][1:] != comp[v][:-1])])
+                    u, v = u[least], v[least]
+                a.append(ids[u])
+                b.append(ids[v])
         a, b = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (a, b))
         return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
-    return dealt.groupBy("key", "i", "j").applyInArrow(run, "a long, b long").distinct()
+    return left.unionByName(right).groupBy("key", "i", "j").applyInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:
@@ -264,28 +305,36 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5) -> DataF
     chunks = plan_chunks(percent / 100)
     slots, most = CHUNK * chunks, 2 * chunks - 1
     sketched = scratch.table(sketch(docs, chunks, width), "sketch")
-    usable = sketched.where("digest is not null and doc_id is not null")
-    reps = scratch.table(usable.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig")), "reps")
+    reps = nodes(sketched)
 
     listed = _listed(reps, slots)
-    shared = listed.groupBy("key").agg(F.min("id").alias("c"), F.max("id").alias("top"), F.count("*").alias("n")).where("c != top")
-    members = scratch.table(listed.join(shared.select("key", "c", "n"), "key"), "members")
+    shared = listed.groupBy("key").agg(F.min("id").alias("c"), F.max("id").alias("top")).where("c != top")
+    members = scratch.table(listed.join(shared.select("key", "c"), "key"), "members")
 
     stars = members.where("id != c").groupBy("id", "c").agg(F.count("*").alias("k"))
     best = stars.groupBy(F.col("id").alias("b")).agg(F.max_by("c", F.struct("k", -F.col("c"))).alias("a"))
-    first = scratch.table(_confirm(scratch.table(_within(best, reps, slots, most), "stars"), docs, percent, width), "confirmed")
-    label = components(first)
-
-    placed = members.join(label, "id", "left").select("key", "slot", "id", "n", F.coalesce("component", "id").alias("comp"))
-    mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("key")
-    left = scratch.table(_crossing(placed.join(mixed, "key"), reps, docs, slots, most, percent, width), "crossing")
-    if left.limit(1).count():
-        more = scratch.table(_confirm(left, docs, percent, width), "confirmed")
+    links = scratch.table(_confirm(scratch.table(_within(best, reps, slots, most), "stars"), reps, docs, percent, width), "confirmed")
+    label, wide = components(links), None
+
+    for nearest in (True, False):
+        placed = members.join(label, "id", "left").select("key", "slot", "id", F.coalesce("component", "id").alias("comp"))
+        placed = scratch.table(placed.join(_mixed(placed).select("key"), "key"), "placed")
+        if not placed.limit(1).count():
+            break
+        if wide is None:
+            wide = scratch.table(_wide(placed.select("id").distinct(), reps, docs, width), "wide")
+        pairs = scratch.table(_crossing(placed, reps, wide, slots, most, percent, nearest), "crossing")
+        more = scratch.table(_confirm(pairs, reps, docs, percent, width), "confirmed")
         if more.limit(1).count():
-            label = components(first.union(more))
-
-    named = reps.select("digest", "id").join(label, "id", "left").select("digest", F.coalesce("component", "id").alias("__c"))
+            links = links.union(more)
+            label = components(links)
+
+    # ids ascend with doc_id, so a component's first node has its smallest doc_id
+    labelled = scratch.table(label.join(reps.select("id", "digest", "doc_id"), "id"), "labelled")
+    smallest = scratch.table(labelled.groupBy("component").agg(F.min("doc_id").alias("__c")), "smallest")
+    named = labelled.join(smallest, "component").select("digest", "__c")
+    alone = reps.join(label, "id", "left_anti").select("digest", F.col("doc_id").alias("__c"))
     known = F.col("doc_id").isNotNull()
-    out = sketched.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
+    out = sketched.select("doc_id", "n_shingles", "digest").join(scratch.table(named.union(alone), "named"), "digest", "left")
     component = F.when(known, F.coalesce("__c", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))

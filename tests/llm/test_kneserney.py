@@ -2,106 +2,124 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tidewater.llm import kneserney
+from tidewater.llm.tokens import U64, WordHasher
 
 
-def plain(train, texts):
+class Plain:
     """The same model with dictionaries."""
-    words = lambda t: (t or "").encode().lower().split()
-    pairs = Counter()
-    for t in train:
-        seq = ["<s>", *words(t), "</s>"]
-        pairs.update(zip(seq, seq[1:]))
-    after, before, count, total = defaultdict(Counter), defaultdict(set), Counter(), Counter()
-    for (v, w), c in pairs.items():
-        after[v][min(c, 3)] += 1
-        before[w].add(v)
-        count[w] += c
-        total[v] += c
-    d = [0, *kneserney.discounts([sum(c == k for c in pairs.values()) for k in (1, 2, 3, 4)])]
-    e = [0, *kneserney.discounts([sum(len(b) == k for b in before.values()) for k in (1, 2, 3, 4)])]
-    n = len(pairs)
-    spread = sum(e[min(len(b), 3)] for b in before.values()) / n if n else 1
-    size, tokens = len(count), sum(count.values())
+
+    def __init__(self, texts, order):
+        self.order, self.count, self.raw = order, [None] + [Counter() for _ in range(order)], Counter()
+        for t in texts:
+            seq = self.words(t)
+            for i in range(order - 1, len(seq)):
+                self.count[order][tuple(seq[i - order + 1 : i + 1])] += 1
+                self.raw[seq[i]] += 1
+        for k in range(order - 1, 0, -1):
+            self.count[k] = Counter(g[1:] for g in self.count[k + 1])
+        self.after = [None] + [defaultdict(list) for _ in range(order)]
+        for k in range(1, order + 1):
+            for g, c in self.count[k].items():
+                self.after[k][g[:-1]].append(c)
+        tally = lambda c: [sum(x == k for x in c.values()) for k in (1, 2, 3, 4)]
+        self.d = [None] + [[0, *kneserney.discounts(tally(self.count[k]))] for k in range(1, order + 1)]
+        self.size, self.tokens = len(self.raw), sum(self.raw.values())
+
+    def words(self, text):
+        return ["<s>"] * (self.order - 1) + (text or "").encode().lower().split() + ["</s>"]
+
+    def prob(self, gram):
+        k = len(gram)
+        lower = self.prob(gram[1:]) if k > 1 else 1 / (self.size + 1)
+        follow, d = self.after[k].get(gram[:-1]), self.d[k]
+        if not follow:
+            return lower
+        left = sum(d[min(c, 3)] for c in follow)
+        c = self.count[k].get(gram, 0)
+        return (max(c - d[min(c, 3)], 0) + left * lower) / sum(follow)
+
+    def score(self, text):
+        seq, n = self.words(text), self.order - 1
+        own = sum(math.log10(self.prob(tuple(seq[i - n : i + 1]))) for i in range(n, len(seq)))
+        base = sum(math.log10((self.raw.get(w, 0) + 1) / (self.tokens + self.size + 1)) for w in seq[n:])
+        return len(seq) - n, sum(w in self.raw for w in seq[n:]), base, own
+
+
+def corpus(seed, n, follow):
+    """Texts in which a word mostly depends on the two before it."""
+    rng = random.Random(seed)
     out = []
-    for t in texts:
-        seq = ["<s>", *words(t), "</s>"]
-        own = base = 0.0
-        for v, w in zip(seq, seq[1:]):
-            b = len(before.get(w, ()))
-            lower = max(b - e[min(b, 3)], 0) / max(n, 1) + spread / (size + 1)
-            c = pairs.get((v, w), 0)
-            p = (max(c - d[min(c, 3)], 0) + sum(d[k] * after[v][k] for k in (1, 2, 3)) * lower) / total[v] if total.get(v) else lower
-            own += math.log10(p)
-            base += math.log10((count.get(w, 0) + 1) / (tokens + size + 1))
-        out.append((len(seq) - 1, sum(w in count for w in seq[1:]), base, own))
-    return out, tokens
-
-
-def test_equals_a_plain_model(spark, make_docs):
-    rng = random.Random(7)
-    texts = [" ".join(f"t{min(int(rng.expovariate(0.15)), 60)}" for _ in range(rng.randrange(0, 50))) for _ in range(200)] + [None, "", "NEW Unseen t1", "t1 T2"]
-    docs = make_docs([(i, t, "en", "s") for i, t in enumerate(texts)])
-    want, tokens = plain([t for i, t in enumerate(texts) if i % 3], texts)
-    got = kneserney.perplexity(docs, F.col("doc_id") % 3 != 0).collect()
-    assert len(got) == len(texts)
-    for r in got:
-        n, known, base, own = want[r["doc_id"]]
-        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (n, known, tokens)
-        assert r["base_score"] == pytest.approx(base, rel=1e-9) and r["score"] == pytest.approx(own, rel=1e-9)
+    for _ in range(n):
+        text = []
+        for _ in range(rng.randrange(0, 50)):
+            text.append(f"t{(hash_of(text[-2:]) + rng.randrange(2)) % 40}" if rng.random() < follow else f"t{min(int(rng.expovariate(0.15)), 60)}")
+        out.append(" ".join(text))
+    return out
 
 
-def test_probabilities_add_up(make_docs):
-    import numpy as np
+def hash_of(words):
+    return sum(ord(c) * (7 * k + 1) for k, w in enumerate(words) for c in w)
 
-    from tidewater.llm.tokens import U64, WordHasher
 
-    rng = random.Random(1)
-    texts = [" ".join(rng.choice("abcdefgh") for _ in range(12)) for _ in range(30)]
-    model = kneserney.train(make_docs([(i, t, "en", "s") for i, t in enumerate(texts)]))
-    h = WordHasher()([w.encode() for w in "abcdefgh"] + [b"unseen"])
-    # texts of one word x and of two words x y: P(y | x) P(end | y) against P(x | start) P(end | x)
-    one = 10.0 ** model.score(h, np.ones(9, np.int64))[3]
-    ends = 10.0 ** model.score(np.zeros(0, U64), np.zeros(1, np.int64))[3]
-    for x in range(9):
-        two = 10.0 ** model.score(np.stack([np.full(9, h[x]), h], axis=1).ravel(), np.full(9, 2, np.int64))[3]
-        end = end_after(model, h)
-        assert sum(two[y] / (one[x] / end[x]) / end[y] for y in range(9)) + end[x] == pytest.approx(1, abs=1e-6)
-    assert 0 < ends[0] < 1
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_equals_a_plain_model(make_docs, order):
+    texts = corpus(7, 200, 0.5) + [None, "", "NEW Unseen t1", "t1 T2"]
+    docs = make_docs([(i, t, "en", "s") for i, t in enumerate(texts)])
+    want = Plain([t for i, t in enumerate(texts) if i % 3], order)
+    got = kneserney.perplexity(docs, F.col("doc_id") % 3 != 0, order=order).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        n, known, base, own = want.score(texts[r["doc_id"]])
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (n, known, want.tokens)
+        assert r["base_score"] == pytest.approx(base, rel=1e-9) and r["score"] == pytest.approx(own, rel=1e-9)
 
 
-def end_after(model, h):
-    """P(end | x), from two texts x x and x: the ratio leaves P(x | x), so ask the model's own parts."""
-    import numpy as np
+def test_probabilities_add_up():
+    for order in (2, 3):
+        plain = Plain(corpus(1, 60, 0.7), order)
+        words = [*plain.raw, "unseen"]
+        for context in [*list(plain.after[order])[:40], ("t1",) * (order - 1), ("unseen",) * (order - 1)]:
+            assert sum(plain.prob((*context, w)) for w in words) == pytest.approx(1)
 
-    from tidewater.llm.kneserney import END, pair_hash
 
-    words, inverse = np.unique(np.append(h, END), return_inverse=True)
-    facts = model._find("word", model.word_bits, words, 6).astype(float)[:, inverse]
-    key = pair_hash(h, np.full(len(h), END))
-    order = np.argsort(key)
-    count = np.empty(len(h))
-    count[order] = model._find("pair", model.pair_bits, key[order], 1)[0]
-    before = facts[5, -1]
-    lower = max(before - model.e[min(int(before), 3)], 0) / model.pairs + model.spread / (model.words + 1)
-    left = model.d[1] * facts[1, :-1] + model.d[2] * facts[2, :-1] + model.d[3] * facts[3, :-1]
-    total = facts[0, :-1]
-    high = np.maximum(count - model.d[np.minimum(count, 3).astype(int)], 0)
-    return np.where(total > 0, (high + left * lower) / np.maximum(total, 1), lower)
+def test_a_higher_order_predicts_better(make_docs):
+    texts = corpus(3, 900, 0.95)
+    docs = make_docs([(i, t, "en", "s") for i, t in enumerate(texts)])
+    per_token = {}
+    for order in (2, 3):
+        rows = kneserney.perplexity(docs, F.col("doc_id") % 5 != 0, order=order).where("doc_id % 5 = 0").collect()
+        per_token[order] = sum(r["score"] for r in rows) / sum(r["n_tokens"] for r in rows)
+    assert per_token[3] > per_token[2]
+    with pytest.raises(ValueError):
+        kneserney.train(docs, 1)
 
 
 def test_packets():
-    import numpy as np
-
-    v, w = np.array([5, 5, 9, 5], np.uint64), np.array([1, 1, 2, 3], np.uint64)
-    packets = [p for _, p in kneserney.count_pairs(v, w, 2)] + [p for _, p in kneserney.count_pairs(v[:1], w[:1], 2)]
-    a, b, c = kneserney.merge_pairs(packets)
-    assert sorted(zip(a.tolist(), b.tolist(), c.tolist())) == [(5, 1, 3), (5, 3, 1), (9, 2, 1)]
-    words, facts = kneserney.word_facts(a, b, c)
-    assert dict(zip(words.tolist(), facts.T.tolist()))[5] == [4, 1, 0, 1, 0, 0]
+    words = [np.array(x, np.uint64) for x in ([5, 5, 9, 5], [1, 1, 2, 3], [7, 7, 7, 8])]
+    packets = [p for _, p in kneserney.count_grams(words, 2)] + [p for _, p in kneserney.count_grams([w[:1] for w in words], 2)]
+    h, got, (counts,) = kneserney.merge(packets, 3)
+    assert (np.diff(h.astype(float)) > 0).all()
+    assert sorted(zip(*(w.tolist() for w in got), counts.tolist())) == [(5, 1, 7, 3), (5, 3, 8, 1), (9, 2, 7, 1)]
+    words, facts = kneserney.shorter(got, counts, counts)
+    by = {(a, b): [int(f[i]) for f in facts] for i, (a, b) in enumerate(zip(*(w.tolist() for w in words)))}
+    assert by == {(5, 1): [3, 0, 0, 1, 0, 0], (5, 3): [1, 1, 0, 0, 0, 0], (9, 2): [1, 1, 0, 0, 0, 0], (1, 7): [0, 0, 0, 0, 3, 1], (3, 8): [0, 0, 0, 0, 1, 1], (2, 7): [0, 0, 0, 0, 1, 1]}
+
+
+def test_sequences():
+    h, n = np.arange(10, 17, dtype=U64), np.array([3, 0, 4, 0])
+    for order in (2, 3, 5):
+        full, tokens = kneserney.sequences(h, n, order)
+        want, at = [], 0
+        for k in n:
+            want += [kneserney.START] * (order - 1) + list(h[at : at + k]) + [kneserney.END]
+            at += k
+        assert full.tolist() == [int(x) for x in want] and (full[tokens] != kneserney.START).all() and len(tokens) == n.sum() + len(n)
+    assert WordHasher()([b"a"]).dtype == U64
 
 
 def test_odd_rows_and_no_training_rows(odd_docs):

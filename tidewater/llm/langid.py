@@ -12,10 +12,15 @@ Evidence, each a likelihood for each language:
   grouped aggregation of the first pass.  A page's own contribution is taken
   out of its host's counts.
 
+Markup is read in one linear pass over the whole page, however it is broken.
+
 Nulls: a null or empty page or address gives no evidence of its kind; a page
-without any evidence gets the overall shares of the languages.  Repeated rows
-are pages of their own.  Without known languages the result is empty of
-languages: lang is null and probability 0.
+without any evidence gets the overall shares of the languages.  Very long pages
+are read whole.  Repeated rows are pages of their own; of languages with equal
+probability the first by name wins.  Without known languages the result is
+empty of languages: lang is null and probability 0.  Only page_id, url and html
+are looked at, whatever other columns there are.  An empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -34,21 +39,62 @@ from .tokens import as_bytes, slices
 from .urlfilter import host_of
 
 BITS = 15
-_SKIP = re.compile(rb"<!--.*?-->|<(script|style)\b.*?</\1\s*>|<[^>]*>", re.S | re.I)
-_UNSEEN = re.compile(rb"<!--.*?-->|<(script|style)\b.*?</\1\s*>", re.S | re.I)
-_LANG = re.compile(rb"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]{2,3})", re.I)
+_NAME = re.compile(rb"(script|style)\b", re.I)
+_CLOSE = {k: re.compile(rb"</" + k + rb"\s*>", re.I) for k in (b"script", b"style")}
+_HTML = re.compile(rb"<html\b", re.I)
+_LANG = re.compile(rb"\blang\s*=\s*[\"']?([A-Za-z]{2,3})", re.I)
+#: Labels below which a country's registry gives out domains, as in ``x.co.uk``.
+REGISTRY = ("ac", "co", "com", "edu", "gov", "ne", "net", "or", "org")
+DOMAIN = rf"([^.]+\.(?:{'|'.join(REGISTRY)})\.[a-z]{{2}}|[^.]+\.[^.]+)$"
+
+
+def parse(html: bytes) -> tuple[bytes, str | None]:
+    """The text between the tags, without scripts, styles and comments, and the
+    language that an ``html`` tag declares, wherever in the page.  What is opened
+    and never closed counts as a tag, or without ``>`` as text.  Each search for
+    an end goes on from the last, so the time is linear in the page."""
+    out, at, said, ends = [], 0, None, {}
+
+    def closes(kind: bytes, begin: int) -> int:
+        """Where the first end of this kind at or after ``begin`` ends; -1: nowhere."""
+        found = ends.get(kind)
+        if found is None or -1 < found[0] < begin:
+            if kind == b"-->":
+                k = html.find(kind, begin)
+                found = (k, k + 3) if k >= 0 else (-1, -1)
+            else:
+                m = _CLOSE[kind].search(html, begin)
+                found = m.span() if m else (-1, -1)
+            ends[kind] = found
+        return found[1]
+
+    while (i := html.find(b"<", at)) >= 0:
+        out.append(html[at:i])
+        end = -1
+        if html.startswith(b"<!--", i):
+            end = closes(b"-->", i + 4)
+        elif m := _NAME.match(html, i + 1):
+            end = closes(m[1].lower(), m.end())
+        if end < 0:
+            end = html.find(b">", i) + 1
+            if not end:  # no tag ends any more
+                m = None if said else _HTML.search(html, i)
+                said = said or (_LANG.search(html, m.end()) if m else None)
+                at = i
+                break
+            if not said and _HTML.match(html, i):
+                said = _LANG.search(html, i, end)
+        out.append(b" ")
+        at = end
+    return b"".join([*out, html[at:]]), said[1].decode().lower() if said else None
 
 
 def visible(html: bytes) -> bytes:
-    """The text between the tags, without scripts, styles and comments."""
-    return _SKIP.sub(b" ", html)
+    return parse(html)[0]
 
 
 def declared(html: bytes) -> str | None:
-    """The language that the page's markup declares, wherever in the page it
-    does; comments, scripts and styles declare nothing."""
-    found = _LANG.search(_UNSEEN.sub(b" ", html))
-    return found.group(1).decode().lower() if found else None
+    return parse(html)[1]
 
 
 def trigrams(text: bytes) -> np.ndarray:
@@ -89,9 +135,9 @@ def evidence(pages: DataFrame, langs: list[str], table: np.ndarray, temper: floa
         for b in slices(batches, "__text"):
             said, text = [], []
             for html in as_bytes(b.column("__text")):
-                html = html or b""
-                said.append(declared(html))
-                counts = trigrams(visible(html).strip()[: len(html)])
+                words, lang = parse(html or b"")
+                said.append(lang)
+                counts = trigrams(words.strip())
                 at = np.flatnonzero(counts)
                 text.append((counts[at] @ shared.value[at]) / temper)
             yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("host"), pa.array(said, pa.string()), pa.array(text, pa.list_(pa.float64()))], ["page_id", "host", "declared", "text"])
@@ -99,7 +145,7 @@ def evidence(pages: DataFrame, langs: list[str], table: np.ndarray, temper: floa
     schema = rows.select("page_id", "host").withColumns({"declared": F.lit(None).cast("string"), "text": F.array(F.lit(0.0))}).schema
     found = rows.mapInArrow(run, schema)
     suffix = F.regexp_extract("host", r"([^.]+)$", 1)
-    domain = F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1)
+    domain = F.regexp_extract("host", DOMAIN, 1)
     return found.select("page_id", "host", F.nullif(domain, F.lit("")).alias("domain"), F.nullif(suffix, F.lit("")).alias("suffix"), "declared", "text")
 
 
@@ -136,13 +182,13 @@ def identify(pages: DataFrame, known: DataFrame, rows: int = 4000, temper: float
     shares = (shares + alpha / n) / (shares.sum() + alpha)
     overall = F.array(*[F.lit(float(x)) for x in shares])
 
-    def smoothed(column: str, parent: Column | None, of: DataFrame, name: str) -> DataFrame:
-        """Sums of first-pass probabilities by ``column``."""
-        return of.where(F.col(column).isNotNull()).groupBy(column).agg(_sums(n, "p", name))
-
-    by_said, by_suffix = smoothed("declared", None, found, "said"), smoothed("suffix", None, found, "near_suffix")
-    by_domain, by_host = smoothed("domain", None, found, "near_domain"), smoothed("host", None, found, "near_host")
-    joined = found.join(by_said, "declared", "left").join(by_suffix, "suffix", "left").join(by_domain, "domain", "left").join(by_host, "host", "left")
+    found = found.withColumn("n", F.monotonically_increasing_id())
+    joined = found
+    for column, name in (("declared", "said"), ("suffix", "near_suffix"), ("domain", "near_domain"), ("host", "near_host")):
+        sums = found.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("k")).agg(_sums(n, "p", name))
+        # pages without such evidence carry keys of their own, so that no task gets them all
+        key = F.coalesce(F.col(column), F.concat(F.lit("\x00"), F.col("n").cast("string")))
+        joined = joined.withColumn("j", key).join(scratch.table(sums, name), F.col("j") == F.col("k"), "left").drop("j", "k")
 
     zero = F.array(*[F.lit(0.0)] * n)
 

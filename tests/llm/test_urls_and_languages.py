@@ -1,4 +1,6 @@
 import random
+import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -50,6 +52,17 @@ def test_list_has_no_false_positives_or_negatives(spark):
     assert again == got
 
 
+def test_repeats_clashes_and_long_addresses(spark):
+    long = "http://long.net/" + "p/" * 100_000
+    urls = ["http://a.net/x", "http://a.net/x", long + "q", long + "r", "http://b.net/x"]
+    rows = pages(spark, urls).select("page_id", urlfilter.canonical(F.col("url")).alias("canonical"), F.lit("c").alias("__block"), F.lit("c").alias("w0"), F.lit("c").alias("__hit"))
+    names = spark.createDataFrame([("a.net/x",), ("a.net/x",), (long.split("://")[1] + "q",)], "canonical string")
+    got = urlfilter.on_list(rows, "canonical", names)
+    assert got.columns == [*rows.columns, "listed"]
+    assert {r["page_id"]: (r["listed"], r["__block"], r["w0"]) for r in got.collect()} == {i: (i < 3, "c", "c") for i in range(5)}
+    assert urlfilter.on_list(rows.limit(0), "canonical", names).count() == 0
+
+
 def test_bloom_filter_passes_few_others(spark):
     names = spark.range(20_000).select(F.concat(F.lit("in"), F.col("id")).alias("k"))
     blocks = 20_000 // urlfilter.PER_BLOCK
@@ -138,3 +151,24 @@ def test_language_declared_after_long_preambles(spark, make_docs):
     df = spark.createDataFrame([(i, "http://a.org/", t) for i, t in enumerate(pages)], "page_id long, url string, html string")
     got = {r["page_id"]: r["declared"] for r in langid.identify(df, known(make_docs)).collect()}
     assert got == {0: "de", 1: "fr", 2: "de", 3: None}
+
+
+def test_broken_markup_is_read_in_linear_time():
+    """Against the patterns that define it, and on pages that never close what they open."""
+    skip = re.compile(rb"<!--.*?-->|<(script|style)\b.*?</\1\s*>|<[^>]*>", re.S | re.I)
+    rng = random.Random(5)
+    bits = [b"<script>", b"</script >", b"<SCRIPT x", b"<style>", b"</style>", b"<!--", b"-->", b"<p>", b"</p>", b"text", b" <", b">", b"<html lang='de'>", b"<scripted>", b"</script", b"\n"]
+    for _ in range(3000):
+        html = b"".join(rng.choices(bits, k=rng.randrange(0, 14)))
+        assert langid.visible(html) == skip.sub(b" ", html), html
+    began = time.monotonic()
+    for opened in (b"<script>x", b"<!-- x", b"<", b"<html ", b"<style ", b"</script ", b"<script></script x"):
+        langid.parse(opened * (1_000_000 // len(opened)))
+    assert time.monotonic() - began < 15
+    assert langid.declared(b"<html lang=de") == "de" and langid.declared(b"<p>" * 300_000 + b"<html lang=fr>") == "fr"
+
+
+def test_domains_below_country_registries(spark):
+    hosts = ["a.b.co.uk", "b.co.uk", "a.example.org", "org", "x.com.de", "shop.x.com"]
+    df = spark.createDataFrame([(h,) for h in hosts], "host string").select(F.regexp_extract("host", langid.DOMAIN, 1))
+    assert [r[0] for r in df.collect()] == ["b.co.uk", "b.co.uk", "example.org", "", "x.com.de", "x.com"]

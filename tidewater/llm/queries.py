@@ -49,15 +49,25 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
-#: Sites whose pages make up the list of blocked addresses.
-LISTED_SITES = ("casino-win", "free-bets", "cheap-pills", "ads-track")
+# The list of blocked addresses, an input of its own: all canonical addresses of
+# some sites whose number leaves a remainder below 3 when divided by 4.
+SITES = ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+SUBDOMAINS, SUFFIXES, LANGUAGES, NUMBERS = ("", "blog.", "m."), ("com", "net", "org"), ("de", "en", "es", "fr"), 1000
+
+
+def blocked_addresses(spark: SparkSession) -> DataFrame:
+    """canonical: addresses on the list, of pages that exist and of others."""
+    rest, parts = F.col("id"), []
+    for values in (SITES, SUBDOMAINS, SUFFIXES, LANGUAGES):
+        parts.append(F.element_at(F.array(*[F.lit(v) for v in values]), (rest % len(values) + 1).cast("int")))
+        rest = F.floor(rest / len(values))
+    site, sub, suffix, lang = parts
+    rows = spark.range(len(SITES) * len(SUBDOMAINS) * len(SUFFIXES) * len(LANGUAGES) * NUMBERS).where(rest % 4 < 3)
+    return rows.select(F.concat(sub, site, F.lit(".example."), suffix, F.lit("/"), lang, F.lit("/"), rest.cast("string")).alias("canonical"))
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = _table(spark, sf_dir, "pages")
-    site = F.regexp_extract(urlfilter.host_of(F.col("url")), r"([^.]+)\.[^.]+\.[^.]+$", 1)
-    listed = pages.where(site.isin(*LISTED_SITES)).select(urlfilter.canonical(F.col("url")).alias("canonical"))
-    return urlfilter.judge(pages, RULES, listed)
+    return urlfilter.judge(_table(spark, sf_dir, "pages"), RULES, blocked_addresses(spark))
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,9 +111,11 @@ r as (select *, case when (host = 'example.org' or ends_with(host, '.example.org
   when (host = 'com' or ends_with(host, '.com')) and starts_with(path, '/fr/') then 'com/fr/'
   when (host = 'com' or ends_with(host, '.com')) and starts_with(path, '/de/') then 'com/de/'
   when (host = 'org' or ends_with(host, '.org')) and starts_with(path, '/') then 'org/' end as rule_,
-  case when host <> '' then regexp_replace(regexp_replace(host, '^www\.', ''), ':[0-9]+$', '') || regexp_replace(path, '(/+|\.html?)$', '') end canonical,
-  regexp_extract(host, '([^.]+)\.[^.]+\.[^.]+$', 1) in ('casino-win', 'free-bets', 'cheap-pills', 'ads-track') listed from h)
+  case when host <> '' then regexp_replace(regexp_replace(host, '^www\.', ''), ':[0-9]+$', '') || regexp_replace(path, '(/+|\.html?)$', '') end canonical from h),
+l as (select sub || site || '.example.' || suffix || '/' || lang || '/' || n as listed
+  from (values ('adult-x'), ('ads-track'), ('casino-win'), ('cheap-pills'), ('free-bets'), ('spam-farm')) a(site), (values (''), ('blog.'), ('m.')) b(sub),
+  (values ('com'), ('net'), ('org')) c(suffix), (values ('de'), ('en'), ('es'), ('fr')) d(lang), range(1000) e(n) where n % 4 < 3)
 select page_id, host, path, rule_ as "rule", case when rule_ in ('org/', 'com/fr/') then 'allow' when rule_ is not null then 'block'
-  when canonical in (select canonical from r where listed) then 'block' else 'allow' end verdict from r"""
+  when canonical in (select listed from l) then 'block' else 'allow' end verdict from r"""
 
 ORACLE_SQL: dict[str, str] = {"op6_mixing": _MIXING, "op9_url_filter": _URLS}

@@ -7,11 +7,16 @@ list in an exact hash join, which removes false positives.
 
 The filter is a table of blocks.  It is broadcast where its size, computed from
 the number of listed addresses, stays below ``BROADCAST_BYTES``; beyond that it
-is joined by shuffle on the block number.
+is joined by shuffle on the block number.  The table of addresses that are
+judged is read twice: once for the distinct possible hits, which meet the list,
+and once for the result.
 
 Nulls: a null address, or one without ``://``, has an empty host and path, fits
-no rule, is on no list and is allowed.  Nulls in the list are ignored.  Repeated
-rows get equal verdicts.  With an empty list nothing is blocked by it.
+no rule, is on no list and is allowed.  Empty and very long addresses are judged
+like others, whole.  Nulls and repeats in the list are ignored.  Repeated rows get
+equal verdicts.  Of rules of equal length the later in code-point order wins.
+Only the id and the address are looked at, whatever other columns there are.
+With an empty list nothing is blocked by it; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -19,6 +24,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import scratch
+from .rowkeys import free
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A block has 256 bits; so many addresses share one on average (16 bits each).
 PER_BLOCK = 16
@@ -71,26 +79,27 @@ def bloom_blocks(listed: DataFrame, key: str, blocks: int) -> DataFrame:
 
 def on_list(rows: DataFrame, key: str, listed: DataFrame) -> DataFrame:
     """``rows`` plus ``listed`` (boolean): whether ``key`` is in the one column of
-    ``listed`` (same name).  Rows must not have columns __block, __hit, w0..w7."""
-    names = listed.select(F.col(key).alias("__key")).where("__key is not null").distinct()
+    ``listed`` (same name)."""
+    names = scratch.table(listed.select(F.col(key).alias("__key")).where("__key is not null").distinct(), "listed")
     count = names.count()
+    block, hit, ask, maybe, *words = free(rows.columns, "__block", "__hit", "__ask", "__maybe", *[f"w{i}" for i in range(8)])
     if not count:
         return rows.withColumn("listed", F.lit(False))
     blocks = -(-count // PER_BLOCK)
-    bloom = bloom_blocks(names, "__key", blocks)
+    bloom = bloom_blocks(names, "__key", blocks).toDF(block, *words)
     if blocks * 40 <= BROADCAST_BYTES:
         bloom = F.broadcast(bloom)
-    probe = rows.withColumn("__block", _block(F.col(key), blocks)).join(bloom, "__block", "left")
-    possible = F.lit(True)
-    for i, bit in enumerate(_bits(F.col(key))):
-        possible &= F.col(f"w{i}").bitwiseAND(bit) == bit
-    probe = probe.withColumn("__hit", F.coalesce(possible & F.col(key).isNotNull(), F.lit(False))).drop("__block", *[f"w{i}" for i in range(8)])
-    sure = probe.where("__hit").select(F.col(key).alias("__maybe")).distinct().join(names, F.col("__maybe") == F.col("__key"), "left_semi")
-    # addresses that are no possible hits carry a null key, so the join never sends them to one task
-    ask = F.when(F.col("__hit"), F.col(key))
-    miss = probe.where(~F.col("__hit")).withColumn("listed", F.lit(False)).drop("__hit")
-    hit = probe.where("__hit").join(sure, ask == F.col("__maybe"), "left")
-    return miss.unionByName(hit.withColumn("listed", F.col("__maybe").isNotNull()).drop("__hit", "__maybe"))
+    # rows that cannot match carry keys of their own, so that no task gets them all
+    alone = F.concat(F.lit("\x00"), F.monotonically_increasing_id().cast("string"))
+    probe = rows.withColumn(block, _block(F.coalesce(F.col(key), alone), blocks)).join(bloom, block, "left")
+    possible = F.col(key).isNotNull()
+    for word, bit in zip(words, _bits(F.col(key))):
+        possible &= F.col(word).bitwiseAND(bit) == bit
+    probe = probe.withColumn(hit, F.coalesce(possible, F.lit(False))).drop(block, *words)
+    sure = probe.where(F.col(hit)).select(F.col(key).alias(maybe)).distinct().join(names, F.col(maybe) == F.col("__key"), "left_semi")
+    sure = scratch.table(sure, "sure")
+    asked = probe.withColumn(ask, F.when(F.col(hit), F.col(key)).otherwise(alone)).join(sure, F.col(ask) == F.col(maybe), "left")
+    return asked.withColumn("listed", F.col(maybe).isNotNull()).drop(hit, ask, maybe)
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str]], listed: DataFrame, id_col: str = "page_id", url_col: str = "url") -> DataFrame:

@@ -1,7 +1,9 @@
 """A training corpus from raw documents, stage by stage.
 
 Each stage takes (spark, docs, sf_dir), works on all rows that its predecessor
-kept and returns a DataFrame; all but the last return the columns of documents.
+kept and returns a DataFrame; all but the last return the columns of documents,
+whatever these are called.  Rows are judged one by one: null and repeated ids
+lose nothing and multiply nothing.  Empty tables pass through every stage.
 """
 
 from __future__ import annotations
@@ -9,60 +11,55 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontam, mixing, neardup, quality, scratch, sharding
+from tidewater.llm import decontam, mixing, neardup, quality, rowkeys, scratch, sharding
 from tidewater.llm.labelled import fold
-from tidewater.llm.ranking import with_rank
 
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects go."""
+    """Documents that the quality classifier rejects go.  Null and empty texts
+    are scored by their structure; rows of equal text and metadata fare alike; a
+    null id is no training row.  Without usable labels all documents stay."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = quality.quality(docs, labels, fold(F.col("doc_id"), 5) != 0, keep=tuple(docs.columns))
-    return scored.where("predicted = 1").select(*docs.columns)
-
-
-def without(docs: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """The rows of ``docs`` whose ``key`` is not among ``keys`` (written already).
-    Few keys are broadcast, so that the texts need no shuffle."""
-    few = keys.count() <= neardup.BROADCAST_IDS
-    return docs.join(F.broadcast(keys) if few else keys, key, "left_anti")
+    score, fine = rowkeys.free(docs.columns, "score", "predicted")
+    scored = quality.quality(docs, labels, fold(F.col("doc_id"), 5) != 0, keep=tuple(docs.columns), names=(score, fine))
+    return scored.where(F.col(fine) == 1).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near-duplicates stays, one of the smallest id
-    (null last).  Texts are compared, whatever their ids: rows are told apart by
-    their rank in the order of ids.  Rows without words that share an id are
-    repeated rows."""
-    known = F.col("doc_id").isNotNull()
-    tagged = docs.withColumns({"__null": ~known, "__digest": sharding.digest(F.col("text"))})
-    rows = with_rank(tagged, ["__null", "doc_id", "__digest"], "__row").drop("__null", "__digest")
-    found = neardup.near_duplicates(rows.select(F.col("__row").alias("doc_id"), "text"), percent=80)
-    judged = scratch.table(found.select(F.col("doc_id").alias("__row"), "kept", F.col("n_shingles").alias("__n")), "judged")
-    empty = judged.where("__n = 0").join(rows.select("__row", "doc_id").where(known), "__row")
-    first = empty.groupBy("doc_id").agg(F.min("__row").alias("__row"))
-    again = empty.select("__row").join(first.select("__row"), "__row", "left_anti")
-    gone = scratch.table(judged.where("not kept").select("__row").union(again), "gone")
-    return without(rows, gone, "__row").select(*docs.columns)
+    """One row of each group of near-duplicates stays, the first of the written
+    input.  Texts are compared, whatever their ids, so repeated rows are copies
+    of one another.  Null and empty texts, and texts without words, are
+    near-duplicates of nothing: they all stay."""
+    key, kept = rowkeys.free(docs.columns, "row", "kept")
+    rows = rowkeys.numbered(docs, key)
+    found = neardup.near_duplicates(rows.select(F.col(key).alias("doc_id"), "text"), percent=80)
+    judged = found.select(F.col("doc_id").alias(key), F.col("kept").cast("int").alias(kept))
+    return rowkeys.attach(rows, key, judged, kept).where(F.col(kept) == 1).select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that hold a benchmark item go, by their texts, whatever their ids."""
-    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    rows = docs.withColumn("__digest", sharding.digest(F.col("text")))
-    hits = scratch.table(decontam.contaminated(rows, items, keep=("__digest",)).select("__digest").distinct(), "hits")
-    return without(rows, hits, "__digest").select(*docs.columns)
+    """Rows that hold a benchmark item go, by their texts, whatever their ids.
+    Null and empty texts hold none."""
+    return decontam.without_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each row as often as the mix takes it; rows go through the sampler whole."""
-    whole = F.struct(*docs.columns).alias("__row")
-    rows = docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"), whole)
-    taken = mixing.sample_to_targets(rows, keep=("__row",)).where("copies > 0")
-    return taken.select("__row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("__row.*")
+    """Each row as often as the mix takes it.  Null ids and repeated ids are rows
+    like others; a null source is a source of its own; texts without words have
+    size 0 and are taken as others of their source are."""
+    key, size, copies = rowkeys.free(docs.columns, "row", "words", "copies")
+    rows = rowkeys.numbered(docs, key, **{size: mixing.word_count(F.col("text"))})
+    narrow = rows.select("doc_id", "source", F.col(size).alias("size"), F.col(key).alias("row_key"))
+    taken = mixing.sample_to_targets(narrow, keep=("row_key",))
+    taken = taken.select(F.col("row_key").alias(key), F.col("copies").alias(copies))
+    chosen = rowkeys.attach(rows, key, taken, copies).where(F.col(copies) > 0)
+    again = F.explode(F.sequence(F.lit(1), F.col(copies).cast("int"))).alias(size)
+    return chosen.select(*docs.columns, again).select(*docs.columns)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot, grown_shard of each row."""
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard of each row.
+    Equal texts share a shard, null texts likewise; null ids come first."""
     return sharding.shard_documents(docs)
 
 

@@ -6,7 +6,7 @@ import re
 from datetime import UTC, datetime
 from itertools import pairwise
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed values.
@@ -33,6 +33,12 @@ def bot_clause(login: str) -> str:
     return "pattern" if re.search(BOT_PATTERN, login) else "none"
 
 
+def bot_clause_column(login: Column) -> Column:
+    """``bot_clause`` as a column; null for null."""
+    found = F.when(login.endswith("[bot]"), "suffix").when(F.lower(login).isin(*KNOWN_BOTS), "known").when(login.rlike(BOT_PATTERN), "pattern")
+    return F.when(login.isNotNull(), F.coalesce(found, F.lit("none")))
+
+
 def era(at: Column) -> Column:
     """The schema era of an instant; unknown (null) for an unknown instant."""
     return (
@@ -80,6 +86,41 @@ def emails(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(EMAIL), F.lit(0))
 
 
+# What looks like an address and is none, or nobody's.
+NOT_AN_IDENTITY = (".dfs.core.windows.net", ".blob.core.windows.net", "users.noreply.github.com", "@example.com")
+SERVICE_LOGINS = ("runner", "runneradmin", "root", "admin", "ubuntu", "vsts", "jenkins", "circleci")
+LEAST_IDENTIFIER = 3
+
+
+def identifiers_of(hostname: str, login: str) -> list[str]:
+    """Names that give away a machine or its user: host (with and without its local
+    suffix) and login, unless too short to tell or a service's."""
+    names = {hostname, hostname.removesuffix(".local"), login}
+    return sorted(n for n in names if len(n) >= LEAST_IDENTIFIER and n.lower() not in SERVICE_LOGINS)
+
+
+def identity_findings(rows: DataFrame, keys: list[str], text: str, identifiers: list[str] = ()) -> DataFrame:
+    """keys, line (from 1), rule (email or identifier), match: each address that is
+    somebody's and each identifier that stands as a word, once a line for every
+    time an address occurs and once for an identifier.  Null texts have none."""
+    lines = rows.where(F.col(text).isNotNull()).select(*keys, F.posexplode(F.split(text, r"\r\n|[\n\r]", -1)).alias("__n", "__line"))
+    somebody = lambda m: ~F.array_contains(F.transform(F.array(*[F.lit(x) for x in NOT_AN_IDENTITY]), lambda x: F.contains(m, x)), True)
+    found = [F.transform(F.filter(emails(F.col("__line")), somebody), lambda m: F.struct(F.lit("email").alias("rule"), m.alias("match")))]
+    for name in identifiers:
+        hit = F.struct(F.lit("identifier").alias("rule"), F.lit(name).alias("match"))
+        found.append(F.when(F.col("__line").rlike(rf"\b{re.escape(name)}\b"), F.array(hit)).otherwise(F.array().cast("array<struct<rule:string,match:string>>")))
+    out = lines.select(*keys, (F.col("__n") + 1).alias("line"), F.explode(F.concat(*found)).alias("f"))
+    return out.select(*keys, "line", "f.rule", "f.match")
+
+
+def json_paths(json: Column) -> Column:
+    """Dotted paths of the fields of a JSON object, two levels deep; null for what is
+    no object."""
+    names = F.json_object_keys(json)
+    inner = F.transform(names, lambda n: F.transform(F.coalesce(F.json_object_keys(F.get(F.map_values(F.map_filter(F.from_json(json, "map<string,string>"), lambda k, v: k == n)), 0)), F.array().cast("array<string>")), lambda m: F.concat(n, F.lit("."), m)))
+    return F.when(names.isNotNull(), F.concat(names, F.flatten(inner)))
+
+
 def field_paths(event: dict, depth: int = 2, prefix: str = "") -> set[str]:
     """Dotted paths of the fields of a JSON object, ``depth`` levels deep."""
     found = set()
@@ -104,6 +145,14 @@ def renames(seen: list[tuple[int, str, datetime]]) -> list[tuple[int, str, str,
     return out
 
 
+def renames_in(rows: DataFrame, key: str, name: str, time: str = "created_at", tiebreak: str = "event_id") -> DataFrame:
+    """key, old_name, new_name, changed_at: each change of a key's name over time.
+    Rows with a null key, name or time are left out."""
+    line = Window.partitionBy(key).orderBy(time, tiebreak)
+    found = rows.dropna(subset=[key, name, time]).withColumn("__old", F.lag(name).over(line)).where(F.col("__old") != F.col(name))
+    return found.select(key, F.col("__old").alias("old_name"), F.col(name).alias("new_name"), F.col(time).alias("changed_at"))
+
+
 def repeat_share(ids: list[str]) -> float:
     """The share of a stream that repeats earlier ids."""
     return 1 - len(set(ids)) / len(ids) if ids else 0.0

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def as_of_join(spine: DataFrame, log: DataFrame, on: list[str], spine_time: str, log_time: str, tiebreak: list[str] | None = None) -> DataFrame:
+def as_of_join(spine: DataFrame, log: DataFrame, on: list[str], spine_time: str, log_time: str, tiebreak: list[str] | None = None, slice_seconds: int | None = None) -> DataFrame:
     """Each row of ``spine`` with the columns of the last row of ``log`` of the
     same keys whose time is strictly before the spine's.
 
@@ -15,6 +15,12 @@ def as_of_join(spine: DataFrame, log: DataFrame, on: list[str], spine_time: str,
     makes the comparison strict.  Every spine row survives once: rows without a
     match, and rows with a null key or time, get nulls.  Of log rows with equal
     key and time the last in the order of ``tiebreak`` (else of all values) wins.
+
+    Plainly, all rows of a key are sorted in one task, and one exchange does.
+    With ``slice_seconds`` the timeline of a key is cut into slices of time that
+    are sorted apart; a slice begins with the last log row of those before it, of
+    which there is one row a slice.  The result is the same; use it where one key
+    may hold a large part of all rows (times are timestamps then).
     """
     own, values = spine.columns, [c for c in log.columns if c not in (*on, log_time)]
     left = spine.select(*[F.col(c).alias(f"s_{i}") for i, c in enumerate(own)])
@@ -28,8 +34,18 @@ def as_of_join(spine: DataFrame, log: DataFrame, on: list[str], spine_time: str,
     right = log.select(*[F.col(c).alias(f"k_{c}") for c in on], F.col(log_time).alias("t"), F.lit(1).alias("side"), order.alias("o"), row.alias("row"))
     timeline = left.where(usable).select(*[F.col(number[c]).alias(f"k_{c}") for c in on], F.col(number[spine_time]).alias("t"), F.lit(0).alias("side"), F.struct(*left.columns).alias("s"))
     timeline = timeline.unionByName(right, allowMissingColumns=True)
-    line = Window.partitionBy(*[f"k_{c}" for c in on]).orderBy("t", "side", "o").rowsBetween(Window.unboundedPreceding, -1)
-    carried = timeline.withColumn("hit", F.last("row", ignorenulls=True).over(line)).where("side = 0")
+    keys = [f"k_{c}" for c in on]
+    before = lambda *by: Window.partitionBy(*by).orderBy("t", "side", "o").rowsBetween(Window.unboundedPreceding, -1)
+    if slice_seconds is None:
+        carried = timeline.withColumn("hit", F.last("row", ignorenulls=True).over(before(*keys))).where("side = 0")
+    else:
+        timeline = timeline.withColumn("slice", F.floor(F.unix_timestamp("t") / slice_seconds))
+        # a row for each key and slice: its last log row, and from that the last one before the slice
+        ends = timeline.groupBy(*keys, "slice").agg(F.max_by("row", F.when(F.col("side") == 1, F.struct("t", "o"))).alias("end"))
+        earlier = Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+        ends = ends.select(*keys, "slice", F.last("end", ignorenulls=True).over(earlier).alias("brought"))
+        inside = timeline.withColumn("own", F.last("row", ignorenulls=True).over(before(*keys, "slice"))).where("side = 0")
+        carried = inside.join(ends, [*keys, "slice"]).withColumn("hit", F.coalesce("own", "brought"))
     out = [F.col(f"s.s_{i}").alias(c) for i, c in enumerate(own)] + [F.col(f"hit.{c}").alias(c) for c in values]
     lost = left.where(~usable).select(*[F.col(f"s_{i}").alias(c) for i, c in enumerate(own)], *[F.lit(None).cast(log.schema[c].dataType).alias(c) for c in values])
     return carried.select(*out).unionByName(lost)

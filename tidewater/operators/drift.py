@@ -4,24 +4,23 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .ranks import quantiles
+
 # Fixed values.
 FLOOR = 1e-6
 MODERATE, MAJOR = 0.1, 0.25
 ALL_NULL = 0.99
 
 
-def psi(reference: dict[str, float], current: dict[str, float]) -> float:
-    """Population stability index of two sets of shares; absent bins count as
-    ``FLOOR``."""
-    total = 0.0
-    for k in reference.keys() | current.keys():
-        e, a = max(reference.get(k, 0.0), FLOOR), max(current.get(k, 0.0), FLOOR)
-        total += (a - e) * math.log(a / e)
-    return total
+def psi(expected: Column, actual: Column) -> Column:
+    """What one bin's two shares add to the population stability index; a share
+    below ``FLOOR``, or none, counts as ``FLOOR``."""
+    at_least = lambda c: F.greatest(F.coalesce(c, F.lit(0.0)), F.lit(FLOOR))
+    return (at_least(actual) - at_least(expected)) * F.log(at_least(actual) / at_least(expected))
 
 
 def numeric(schema: T.StructType, column: str) -> bool:
@@ -29,26 +28,28 @@ def numeric(schema: T.StructType, column: str) -> bool:
 
 
 def edges(frame: DataFrame, columns: list[str], bins: int = 10) -> dict[str, list[float]]:
-    """Inner quantile edges of each numeric column, in one pass."""
-    at = [k / bins for k in range(1, bins)]
-    if not columns:
-        return {}
-    one = frame.agg(*[F.expr(f"percentile(`{c}`, array({','.join(map(str, at))}))").alias(c) for c in columns]).first()
-    return {c: sorted(set(one[c])) if one[c] else [] for c in columns}
-
+    """Inner quantile edges of each numeric column: exact, from counts of its
+    distinct values."""
+    at = {f"p{k}": k / bins for k in range(1, bins)}
+    found = {c: quantiles(frame.select(F.col(c).cast("double").alias("v")), "v", at, [], interpolate=True).first() for c in columns}
+    return {c: sorted({x for x in row if x is not None}) if row else [] for c, row in found.items()}
 
-def shares(frame: DataFrame, column: str, cuts: list[float] | None) -> DataFrame:
-    """bin, share of the non-null values of a column: number of the interval for
-    given cuts, else the value."""
-    bin_ = F.col(column).cast("string") if cuts is None else F.size(F.filter(F.array(*[F.lit(float(c)) for c in cuts]).cast("array<double>"), lambda e: e < F.col(column).cast("double"))).cast("string")
-    rows = frame.where(F.col(column).isNotNull()).groupBy(bin_.alias("bin")).agg(F.count("*").alias("n"))
-    return rows.select("bin", (F.col("n") / F.sum("n").over(_everything())).alias("share"))
 
+def _bin(column: str, cuts: list[float] | None) -> Column:
+    if cuts is None:
+        return F.col(column).cast("string")
+    value = F.col(column).cast("double")
+    return F.size(F.filter(F.array(*[F.lit(float(x)) for x in cuts]).cast("array<double>"), lambda e: e < value)).cast("string")
 
-def _everything():
-    from pyspark.sql import Window
 
-    return Window.partitionBy()
+def shares(frame: DataFrame, cuts: dict[str, list[float] | None]) -> DataFrame:
+    """column, bin, share of the column's non-null values: the number of the
+    interval for given cuts, else the value.  All columns in one aggregate."""
+    bins = [F.struct(F.lit(c).alias("column"), F.when(F.col(c).isNotNull(), _bin(c, at)).alias("bin")) for c, at in cuts.items()]
+    rows = frame.select(F.explode(F.array(*bins)).alias("b")).select("b.*").where("bin is not null")
+    counts = rows.groupBy("column", "bin").agg(F.count("*").alias("n"))
+    totals = counts.groupBy("column").agg(F.sum("n").alias("total"))
+    return counts.join(F.broadcast(totals), "column").select("column", "bin", (F.col("n") / F.col("total")).alias("share"))  # a row a column
 
 
 def null_shares(frame: DataFrame, columns: list[str]) -> dict[str, float]:
@@ -56,31 +57,39 @@ def null_shares(frame: DataFrame, columns: list[str]) -> dict[str, float]:
     return {c: one[c] / one["__n"] if one["__n"] else 0.0 for c in columns}
 
 
-def compare(reference: DataFrame, current: DataFrame, columns: list[str], bins: int = 10, most_values: int = 1000) -> list[dict]:
+def stability(reference: DataFrame, current: DataFrame, cuts: dict[str, list[float] | None]) -> DataFrame:
+    """column, psi: one row for each column, however many values it has."""
+    old = shares(reference, cuts).select("column", "bin", F.col("share").alias("e"))
+    new = shares(current, cuts).select(F.col("column").alias("c"), F.col("bin").alias("b"), F.col("share").alias("a"))
+    both = old.join(new, (F.col("column") == F.col("c")) & (F.col("bin") == F.col("b")), "full")
+    return both.groupBy(F.coalesce("column", "c").alias("column")).agg(F.sum(psi(F.col("e"), F.col("a"))).alias("psi"))
+
+
+def compare(reference: DataFrame, current: DataFrame, columns: list[str], bins: int = 10) -> list[dict]:
     """column, kind (schema, covariate, none), verdict (missing, all_null, type,
-    major, moderate, stable, many_values) and psi of each column.  A schema
-    finding goes before a shift.  Quantile edges come from the reference and
-    serve both frames.  Text columns with more than ``most_values`` values in
-    either frame are reported as such rather than gathered."""
+    major, moderate, stable) and psi of each column.  A schema finding goes before
+    a shift.  Quantile edges come from the reference and serve both frames.  A
+    column without values in either frame is stable with psi 0."""
     there = [c for c in columns if c in reference.columns]
     both = [c for c in there if c in current.columns]
     nulls, old_nulls = null_shares(current, both), null_shares(reference, both)
-    cuts = edges(reference, [c for c in both if numeric(reference.schema, c) and numeric(current.schema, c)], bins)
-    out = []
+    broken = {}
     for c in columns:
         if c not in both:
-            out.append({"column": c, "kind": "schema", "verdict": "missing", "psi": None})
+            broken[c] = "missing"
         elif numeric(reference.schema, c) != numeric(current.schema, c):
-            out.append({"column": c, "kind": "schema", "verdict": "type", "psi": None})
+            broken[c] = "type"
         elif nulls[c] >= ALL_NULL > old_nulls[c]:
-            out.append({"column": c, "kind": "schema", "verdict": "all_null", "psi": None})
+            broken[c] = "all_null"
+    fine = [c for c in columns if c not in broken]
+    numbers = edges(reference, [c for c in fine if numeric(reference.schema, c)], bins)
+    found = {r["column"]: r["psi"] for r in stability(reference, current, {c: numbers.get(c) for c in fine}).collect()} if fine else {}
+    out = []
+    for c in columns:
+        if c in broken:
+            out.append({"column": c, "kind": "schema", "verdict": broken[c], "psi": None})
         else:
-            found = [shares(f, c, cuts.get(c)).limit(most_values + 1).collect() for f in (reference, current)]
-            if max(map(len, found)) > most_values:
-                out.append({"column": c, "kind": "covariate", "verdict": "many_values", "psi": None})
-                continue
-            ref, cur = ({r["bin"]: r["share"] for r in rows} for rows in found)
-            value = psi(ref, cur)
+            value = found.get(c, 0.0)
             verdict = "major" if value >= MAJOR else "moderate" if value >= MODERATE else "stable"
             out.append({"column": c, "kind": "none" if verdict == "stable" else "covariate", "verdict": verdict, "psi": value})
     return out
@@ -89,3 +98,9 @@ def compare(reference: DataFrame, current: DataFrame, columns: list[str], bins:
 def missing_values(row: dict) -> list[str]:
     """Names of the features of one vector that are null or not a number."""
     return [k for k, v in row.items() if v is None or isinstance(v, float) and math.isnan(v)]
+
+
+def missing_names(schema: T.StructType, columns: list[str]) -> Column:
+    """``missing_values`` as a column of a row's own features, in their order."""
+    odd = lambda c: F.col(c).isNull() | F.isnan(F.col(c)) if isinstance(schema[c].dataType, (T.FloatType, T.DoubleType)) else F.col(c).isNull()
+    return F.array_compact(F.array(*[F.when(odd(c), F.lit(c)) for c in columns]))

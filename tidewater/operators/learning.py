@@ -6,12 +6,17 @@ import hashlib
 import json
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .ranks import counted, quantiles
 
 PR = ["repo_id", "pr_number"]
 
@@ -55,10 +60,18 @@ def temporal_split(frame: DataFrame, time: str, test_share: float = 0.2) -> tupl
 
 
 def segment_baseline(train: DataFrame, label: str, segment: str, how: str = "median") -> DataFrame:
-    """segment, prediction, and one row of a null segment for all others."""
-    agg = F.median(F.col(label).cast("double")) if how == "median" else F.avg(F.col(label).cast("double"))
-    each = train.where(F.col(segment).isNotNull()).groupBy(segment).agg(agg.alias("prediction"))
-    return each.unionByName(train.agg(agg.alias("prediction")).select(F.lit(None).cast(train.schema[segment].dataType).alias(segment), "prediction"))
+    """segment, prediction, and one row of a null segment for all others.  Medians
+    are exact, from counts of distinct labels."""
+    kind = train.schema[segment].dataType
+    rows = train.select(F.col(segment).alias("segment"), F.col(label).cast("double").alias("y"))
+    if how == "median":
+        middle = {"prediction": 0.5}
+        each = quantiles(rows.where("segment is not null"), "y", middle, ["segment"], interpolate=True)
+        overall = quantiles(rows, "y", middle, [], interpolate=True)
+    else:
+        each = rows.where("segment is not null").groupBy("segment").agg(F.avg("y").alias("prediction"))
+        overall = rows.agg(F.avg("y").alias("prediction"))
+    return each.select(F.col("segment").alias(segment), "prediction").unionByName(overall.select(F.lit(None).cast(kind).alias(segment), "prediction"))
 
 
 def predict_baseline(frame: DataFrame, baseline: DataFrame, segment: str) -> DataFrame:
@@ -70,18 +83,10 @@ def predict_baseline(frame: DataFrame, baseline: DataFrame, segment: str) -> Dat
 
 def average_precision(scored: DataFrame, label: str = "label", score: str = "score") -> float:
     """Sum of precision times gain in recall over the distinct scores, from high to
-    low.  Counts are gathered by score first; the running sums are taken in
-    ranges of scores, so no task sorts all rows."""
-    rows = scored.groupBy(F.col(score).alias("s")).agg(F.count("*").alias("n"), F.sum(F.col(label).cast("long")).alias("p"))
-    bounds = [b for b in rows.approxQuantile("s", [k / 32 for k in range(1, 32)], 0.001)] if rows.limit(1).count() else []
-    part = F.size(F.filter(F.array(*[F.lit(-b) for b in sorted(set(bounds))]).cast("array<double>"), lambda e: e < -F.col("s")))
-    rows = rows.withColumn("part", part)
-    totals = rows.groupBy("part").agg(F.sum("n").alias("tn"), F.sum("p").alias("tp"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # 32 rows at most
-    totals = totals.select("part", F.coalesce(F.sum("tn").over(before), F.lit(0)).alias("bn"), F.coalesce(F.sum("tp").over(before), F.lit(0)).alias("bp"))
-    line = Window.partitionBy("part").orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = rows.join(F.broadcast(totals), "part").select("p", (F.sum("n").over(line) + F.col("bn")).alias("cn"), (F.sum("p").over(line) + F.col("bp")).alias("cp"))
-    one = cum.agg(F.sum(F.col("p") * F.col("cp") / F.col("cn")).alias("a"), F.sum("p").alias("p")).first()
+    low; counts of scores are summed in ranges, so no task sorts all rows."""
+    rows = counted(scored.select((-F.col(score).cast("double")).alias("s"), F.col(label).cast("long").alias("y")), "s", [], p=F.col("y"))
+    found, seen = F.col("p_start") + F.col("p"), F.col("start") + F.col("n")
+    one = rows.agg(F.sum(F.col("p") * found / seen).alias("a"), F.sum("p").alias("p")).first()
     return float(one["a"] / one["p"]) if one["p"] else 0.0
 
 
@@ -163,6 +168,87 @@ def ranked(values: dict[str, float]) -> list[dict]:
     return [{"feature": k, "contribution": v, "direction": direction(v)} for k, v in sorted(values.items(), key=lambda x: (-abs(x[1]), x[0]))]
 
 
+def ranked_rows(frame: DataFrame, keys: list[str], features: list[str]) -> DataFrame:
+    """keys, rank, feature, contribution, direction: the contributions of every row by
+    size, then name.  Null contributions are left out."""
+    each = F.filter(F.array(*[F.struct((-F.abs(F.col(c))).alias("o"), F.lit(c).alias("feature"), F.col(c).cast("double").alias("contribution")) for c in features]), lambda x: x["contribution"].isNotNull())
+    rows = frame.select(*keys, F.posexplode(F.array_sort(each)).alias("n", "x"))
+    way = F.when(F.col("x.contribution") >= 0, "increases_risk").otherwise("decreases_risk")
+    return rows.select(*keys, (F.col("n") + 1).alias("rank"), "x.feature", "x.contribution", way.alias("direction"))
+
+
+@dataclass(frozen=True)
+class TreeTable:
+    """Trees as arrays: of each node its feature (-1: leaf), threshold, children and
+    value (times the tree's weight); ``roots`` are the trees' first nodes."""
+
+    feature: np.ndarray
+    threshold: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    value: np.ndarray
+    roots: np.ndarray
+
+    @classmethod
+    def of(cls, model) -> TreeTable:
+        """From a fitted ensemble.  Splits on numbers only, as training makes them."""
+        rows: list[list[float]] = []
+
+        def add(node, weight: float) -> int:
+            at = len(rows)
+            rows.append([-1, 0.0, -1, -1, weight * node.prediction()])
+            if node.subtreeDepth() > 0:
+                split = node.split()
+                rows[at][:2] = [split.featureIndex(), split.threshold()]
+                rows[at][2] = add(node.leftChild(), weight)
+                rows[at][3] = add(node.rightChild(), weight)
+            return at
+
+        roots = [add(tree._java_obj.rootNode(), w) for tree, w in zip(model.trees, model.treeWeights)]
+        table = np.array(rows, np.float64).reshape(-1, 5)
+        whole = lambda k: table[:, k].astype(np.int64)
+        return cls(whole(0), table[:, 1], whole(2), whole(3), table[:, 4], np.array(roots, np.int64))
+
+    def contributions(self, x: np.ndarray) -> np.ndarray:
+        """(rows, features + 1): on its way down a tree a row's value moves from node
+        to node, and each step is credited to the feature that was asked; the last
+        column is what all rows start from.  A row adds up to its raw score."""
+        out = np.zeros((len(x), x.shape[1] + 1))
+        out[:, -1] = self.value[self.roots].sum()
+        every = np.arange(len(x))
+        for root in self.roots:
+            at = np.full(len(x), root)
+            while len(going := every[self.feature[at] >= 0]):
+                node = at[going]
+                asked = self.feature[node]
+                to = np.where(x[going, asked] <= self.threshold[node], self.left[node], self.right[node])
+                out[going, asked] += self.value[to] - self.value[node]
+                at[going] = to
+        return out
+
+
+def tree_contributions(frame: DataFrame, trained: Trained, keys: list[str]) -> DataFrame:
+    """keys, a column for each feature, ``baseline`` and ``raw``: what each feature
+    contributes to the raw score of the model that scores.  A feature and its flag
+    for an unknown value count together."""
+    table, features = TreeTable.of(trained.model), trained.features
+    shared = frame.sparkSession.sparkContext.broadcast(table)  # a few thousand nodes
+    rows = _assembled(frame, features).select(*[F.col(c) for c in keys], vector_to_array("__x").alias("__x"))
+    out = T.StructType([*rows.select(*keys).schema.fields, *[T.StructField(c, T.DoubleType()) for c in [*features, "baseline", "raw"]]])
+    n = len(features)
+
+    def run(batches):
+        for b in batches:
+            if b.num_rows:
+                x = np.asarray(b.column("__x").flatten()).reshape(b.num_rows, -1)
+                parts = shared.value.contributions(x)
+                own = parts[:, :n] + parts[:, n : 2 * n]
+                columns = [*own.T, parts[:, -1], parts.sum(axis=1)]
+                yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keys], *[pa.array(c) for c in columns]], out.names)
+
+    return rows.mapInArrow(run, out)
+
+
 def direction(value: float) -> str:
     return "increases_risk" if value >= 0 else "decreases_risk"
 

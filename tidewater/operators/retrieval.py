@@ -5,11 +5,15 @@ from __future__ import annotations
 import zlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import entity_key, split_entity_key
+from .ranks import counted
 
 Encoder = Callable[[list[str]], list[list[float]]]
 
@@ -74,28 +78,57 @@ def embed(texts: DataFrame, load: Callable[[], Encoder], batch: int = 256, parti
     return texts.drop("text").join(vectors, "text_hash").select("entity_key", "event_time", "text_hash", "embedding")
 
 
-def distance(a: Column, b: Column) -> Column:
-    """Euclidean, on arrays of equal length."""
-    return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
+#: Rows of the vectors and of the queries in a group, at most (on average, by hash).
+BLOCK, ASKED = 20_000, 2_000
 
 
-def nearest_before(spine: DataFrame, vectors: DataFrame, k: int, query_key: str = "query_key", blocks: int = 16) -> DataFrame:
+def _usable(rows: DataFrame, columns: list[Column], vector: str) -> DataFrame:
+    v = F.col(vector).cast("array<double>")
+    return rows.select(*columns, v.alias("v")).where(F.col("v").isNotNull() & (F.size("v") > 0) & ~F.exists("v", lambda x: x.isNull() | F.isnan(x)))
+
+
+def nearest_before(spine: DataFrame, vectors: DataFrame, k: int, query_key: str = "query_key") -> DataFrame:
     """spine: query_key, as_of, embedding; vectors: entity_key, event_time,
-    embedding.  The k nearest vectors known strictly before each query's instant:
-    query_key, entity_key, distance, rank.
+    embedding.  The k nearest vectors (Euclidean, ties to the smaller key) known
+    strictly before each query's instant: query_key, entity_key, distance, rank.
 
-    Exact: the queries meet every block of the vectors, block by block, and only
-    k rows of a query leave a block.  Meant for a stated query set.
+    Exact, for a stated query set: every block of queries meets every block of the
+    vectors of its length, as many blocks as the rows need, and only k rows of a
+    query leave a pair of blocks.  Vectors that are null, empty or hold nulls or
+    NaN, and rows with null keys or instants, take no part.
     """
-    q = spine.select(F.col(query_key).alias("q"), F.col("as_of"), F.col("embedding").cast("array<double>").alias("x"))
-    q = q.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    v = vectors.select("entity_key", F.col("event_time").alias("t"), F.col("embedding").cast("array<double>").alias("y"), F.pmod(F.xxhash64("entity_key"), F.lit(blocks)).cast("int").alias("b"))
-    met = q.join(v, (q["b"] == v["b"]) & (v["t"] < q["as_of"]) & (v["entity_key"] != q["q"]))
-    rows = met.select("q", q["b"], "entity_key", distance(F.col("x"), F.col("y")).alias("distance"))
-    order = [F.col("distance"), F.col("entity_key")]
-    local = rows.withColumn("n", F.row_number().over(Window.partitionBy("q", "b").orderBy(*order))).where(F.col("n") <= k)
-    best = local.withColumn("rank", F.row_number().over(Window.partitionBy("q").orderBy(*order))).where(F.col("rank") <= k)
-    return best.select(F.col("q").alias(query_key), "entity_key", "distance", "rank")
+    q = _usable(spine, [F.col(query_key).alias("q"), F.col("as_of").alias("t")], "embedding").where("q is not null and t is not null")
+    v = _usable(vectors, [F.col("entity_key").alias("e"), F.col("event_time").alias("t")], "embedding").where("e is not null and t is not null")
+    asked, blocks = max(1, -(-spine.count() // ASKED)), max(1, -(-vectors.count() // BLOCK))
+    by = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    micros = F.unix_micros(F.col("t").cast("timestamp")).alias("t")
+    left = q.select("q", micros, "v", F.size("v").alias("d"), by("q", asked).alias("a"), every(blocks).alias("b"))
+    right = v.select("e", micros, "v", F.size("v").alias("d"), by("e", blocks).alias("b"), every(asked).alias("a"))
+    schema = T.StructType([T.StructField("q", q.schema["q"].dataType), T.StructField("e", v.schema["e"].dataType), T.StructField("distance", T.DoubleType())])
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        at, of, far = [], [], []
+        if left.num_rows and right.num_rows:
+            right = right.sort_by("e")  # ties go to the smaller key
+            d = left["d"][0].as_py()
+            x, y = (np.asarray(t["v"].combine_chunks().flatten()).reshape(-1, d) for t in (left, right))
+            now, known = left["t"].to_numpy(), right["t"].to_numpy()
+            keys, own = right["e"].to_numpy(), left["q"].to_numpy()
+            for i in range(len(x)):
+                rows = np.flatnonzero((known < now[i]) & (keys != own[i]))
+                apart = np.sqrt(((y[rows] - x[i]) ** 2).sum(axis=1))
+                best = np.flatnonzero(apart <= np.partition(apart, k - 1)[k - 1]) if len(rows) > k else np.arange(len(rows))
+                best = best[np.argsort(apart[best], kind="stable")[:k]]
+                at.append(np.full(len(best), i))
+                of.append(rows[best])
+                far.append(apart[best])
+        join = lambda p, kind: np.concatenate(p).astype(kind) if p else np.zeros(0, kind)
+        return pa.table({"q": left["q"].take(pa.array(join(at, np.int64))), "e": right["e"].take(pa.array(join(of, np.int64))), "distance": join(far, np.float64)})
+
+    met = left.groupBy("d", "a", "b").cogroup(right.groupBy("d", "a", "b")).applyInArrow(meet, schema)
+    rank = F.row_number().over(Window.partitionBy("q").orderBy("distance", "e"))
+    return met.withColumn("rank", rank).where(F.col("rank") <= k).select(F.col("q").alias(query_key), F.col("e").alias("entity_key"), "distance", "rank")
 
 
 def similarity_features(spine: DataFrame, neighbours: DataFrame, resolutions: DataFrame) -> DataFrame:
@@ -113,5 +146,19 @@ def similarity_features(spine: DataFrame, neighbours: DataFrame, resolutions: Da
 
 
 def hash_sample(rows: DataFrame, keys: list[str], n: int, seed: int = 0) -> DataFrame:
-    """n rows in a hash order of their keys: the same whenever it is evaluated."""
-    return rows.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(n)
+    """n rows in the order of the MD5 of seed and keys (nulls as a mark): the same
+    whenever, and wherever, it is evaluated."""
+    named = F.concat_ws(":", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in keys])
+    return rows.orderBy(F.md5(named.cast("binary")), *keys).limit(n)
+
+
+def every_nth(rows: DataFrame, n: int, order: list[str], offset: int = 0) -> DataFrame:
+    """Every n-th row in the order of ``order`` (unique), counted from ``offset``.
+    Ranks are sums of counts over ranges, so no task sorts all rows; ``order``
+    begins with a number or an instant."""
+    first = order[0]
+    place = rows.withColumn("__v", F.col(first).cast("double") if not isinstance(rows.schema[first].dataType, (T.TimestampType, T.DateType)) else F.unix_micros(F.col(first).cast("timestamp")).cast("double"))
+    starts = counted(place, "__v", []).select(F.col("__v").alias("__w"), "start")
+    inside = F.row_number().over(Window.partitionBy("__v").orderBy(*order)) - 1
+    ranked = place.join(starts, F.col("__v") == F.col("__w")).withColumn("__rank", F.col("start") + inside)
+    return ranked.where((F.col("__rank") >= offset) & ((F.col("__rank") - offset) % n == 0)).select(*rows.columns)

@@ -103,3 +103,11 @@ def build_features(store, events: DataFrame, tables: tuple[FeatureTable, ...] =
 def moved(early: dict, late: dict) -> list[str]:
     """Names of features that differ between two as-of vectors."""
     return [k for k in early if early[k] != late.get(k)]
+
+
+def moved_names(early: DataFrame, late: DataFrame, keys: list[str], features: list[str]) -> DataFrame:
+    """keys, moved: names of the features that differ between the vectors of two
+    instants (null and a value differ, nulls do not), for keys known at both."""
+    other = late.select(*keys, *[F.col(c).alias(f"__{c}") for c in features])
+    differs = F.array_compact(F.array(*[F.when(~F.col(c).eqNullSafe(F.col(f"__{c}")), F.lit(c)) for c in features]))
+    return early.join(other, keys).select(*keys, differs.alias("moved"))

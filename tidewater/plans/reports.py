@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import seconds_between
+from ..operators.ranks import ntile, quantiles
 
 PR = ["repo_id", "pr_number"]
 
@@ -26,21 +27,10 @@ def risk_queue(predictions: DataFrame, fact: DataFrame, top: int = 200) -> DataF
 
 
 def calibration(predictions: DataFrame, groups: int = 10) -> DataFrame:
-    """Deciles of risk with mean prediction and observed rate.  Deciles come from
-    exact ranks: counts of distinct risks are summed, not rows sorted in a task."""
-    # rows of equal risk are told apart by key, inside their risk only
-    per = predictions.groupBy("breach_risk").agg(F.count("*").alias("n"))
-    before = Window.orderBy("breach_risk").rowsBetween(Window.unboundedPreceding, -1)
-    starts = per.select("breach_risk", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    total = F.sum("n").over(Window.partitionBy())
-    starts = starts.join(per.select("breach_risk", total.alias("total")), "breach_risk")
-    rank = F.row_number().over(Window.partitionBy("breach_risk").orderBy(*PR)) - 1 + F.col("start")
-    rows = predictions.join(starts, "breach_risk").withColumn("r", rank)
-    size, extra = F.floor(F.col("total") / groups), F.col("total") % groups
-    # the first `extra` groups hold one row more
-    long = (size + 1) * extra
-    decile = F.when(F.col("r") < long, F.floor(F.col("r") / (size + 1))).otherwise(extra + F.floor((F.col("r") - long) / F.greatest(size, F.lit(1))))
-    return rows.groupBy((decile + 1).cast("long").alias("risk_decile")).agg(F.round(F.avg("breach_risk"), 4).alias("mean_predicted"), F.round(_breach(), 4).alias("observed_rate"), F.count("*").alias("pull_requests"))
+    """Deciles of risk (ties by pull request) with mean prediction and observed rate.
+    Rows without a risk or a key have no decile."""
+    rows = ntile(predictions.dropna(subset=["breach_risk", *PR]), groups, ["breach_risk", *PR], "risk_decile")
+    return rows.groupBy("risk_decile").agg(F.round(F.avg("breach_risk"), 4).alias("mean_predicted"), F.round(_breach(), 4).alias("observed_rate"), F.count("*").alias("pull_requests"))
 
 
 def risk_by_repo(predictions: DataFrame, least: int = 50, top: int = 100) -> DataFrame:
@@ -109,18 +99,34 @@ def bus_factor(fact: DataFrame) -> DataFrame:
     return half.groupBy("repo_id").agg(F.min("contributor_rank").cast("long").alias("bus_factor")).groupBy("bus_factor").agg(F.count("*").alias("repos"))
 
 
-def time_to_merge(fact: DataFrame, exact: bool = True) -> DataFrame:
-    """Percentiles of hours from opening to merge, by kind of author."""
-    rows = fact.where("merged and closed_at is not null").withColumn("s", seconds_between(F.col("opened_at"), F.col("closed_at")))
-    how = "percentile_disc({p}) within group (order by s)" if exact else "percentile_approx(s, {p})"
-    at = lambda p: F.round(F.expr(how.format(p=p)) / 3600, 2)
-    return rows.groupBy("author_is_bot").agg(F.count("*").alias("merged_prs"), at(0.5).alias("p50_hours"), at(0.75).alias("p75_hours"), at(0.9).alias("p90_hours"), at(0.99).alias("p99_hours"))
+def time_to_merge(fact: DataFrame) -> DataFrame:
+    """Percentiles of hours from opening to merge, by kind of author: exact, from
+    counts of distinct seconds."""
+    rows = fact.where("merged and closed_at is not null and opened_at is not null").select("author_is_bot", seconds_between(F.col("opened_at"), F.col("closed_at")).alias("s"))
+    found = quantiles(rows, "s", {"p50": 0.5, "p75": 0.75, "p90": 0.9, "p99": 0.99}, ["author_is_bot"])
+    counts = fact.where("merged and closed_at is not null").groupBy(F.col("author_is_bot").alias("kind")).agg(F.count("*").alias("merged_prs"))
+    out = counts.join(found, F.col("kind").eqNullSafe(F.col("author_is_bot")), "left")
+    return out.select(F.col("kind").alias("author_is_bot"), "merged_prs", *[F.round(F.col(p) / 3600, 2).alias(f"{p}_hours") for p in ("p50", "p75", "p90", "p99")])
 
 
 def busiest_after_open(fact: DataFrame, events: DataFrame, hours: int = 24) -> DataFrame:
     """The pull request whose repository saw most events in the hours after it
-    opened, bounds excluded: one row, or none."""
-    opens = fact.where("opened_at is not null").select(*PR, "opened_at")
-    near = events.select(F.col("repo_id").alias("r"), "created_at")
-    met = opens.join(near, (F.col("repo_id") == F.col("r")) & (F.col("created_at") > F.col("opened_at")) & (F.col("created_at") < F.col("opened_at") + F.expr(f"interval {hours} hours")))
-    return met.groupBy(*PR).agg(F.count("*").alias("events_after_open")).orderBy(F.desc("events_after_open"), *PR).limit(1)
+    opened, bounds excluded: one row, or none.
+
+    The events between two instants are the difference of two running counts.
+    These are sums over whole hours of a repository, plus a window inside the
+    hour, so a busy repository is spread over its hours and nothing is paired.
+    """
+    opens = fact.where("opened_at is not null and repo_id is not null").groupBy(*PR, "opened_at").agg(F.count("*").alias("times"))
+    near = events.where("created_at is not null and repo_id is not null").select("repo_id", F.col("created_at").alias("t"), F.lit(1).alias("side"), F.lit(1).alias("one"))
+    # at its opening a probe comes after the events of that instant, at its end before them
+    ends = F.explode(F.array(F.struct(F.col("opened_at").alias("t"), F.lit(2).alias("side"), F.lit(-1).alias("sign")), F.struct((F.col("opened_at") + F.expr(f"interval {hours} hours")).alias("t"), F.lit(0).alias("side"), F.lit(1).alias("sign")))).alias("p")
+    probes = opens.select(*PR, "times", ends).select("repo_id", "p.t", "p.side", F.lit(0).alias("one"), "pr_number", "times", "p.sign")
+    line = near.unionByName(probes, allowMissingColumns=True).withColumn("hour", F.date_trunc("hour", "t"))
+    per_hour = line.groupBy("repo_id", "hour").agg(F.sum("one").alias("n"))
+    before = Window.partitionBy("repo_id").orderBy("hour").rowsBetween(Window.unboundedPreceding, -1)  # a row an hour
+    starts = per_hour.select("repo_id", "hour", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    inside = Window.partitionBy("repo_id", "hour").orderBy("t", "side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    known = line.withColumn("n", F.sum("one").over(inside)).where("sign is not null").join(starts, ["repo_id", "hour"])
+    counts = known.groupBy(*PR).agg(F.sum(F.col("sign") * F.col("times") * (F.col("start") + F.col("n"))).alias("events_after_open"))
+    return counts.where("events_after_open > 0").orderBy(F.desc("events_after_open"), *PR).limit(1)

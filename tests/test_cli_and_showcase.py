@@ -1,10 +1,12 @@
 import json
 from datetime import UTC, datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidewater import cli
 from tidewater.plans import gold, showcase
+from tidewater.settings import Settings
 from tidewater.streaming import replay
 
 
@@ -42,3 +44,12 @@ def test_artifacts(spark, tmp_path):
 def test_orphans(spark):
     fact = spark.createDataFrame([(1,), (2,), (2,), (None,)], "repo_id long")
     assert [r[0] for r in gold.orphans(fact, spark.createDataFrame([(1,)], "repo_id long"), "repo_id").collect()] == [2]
+
+
+def test_settings():
+    found = Settings.load({"TIDEWATER_STORE": "/s", "TIDEWATER_LATE_MINUTES": "5", "HOME": "x"})
+    assert (found.store, found.late_minutes, found.tables) == ("/s", 5, Settings().tables)
+    for bad in ({"TIDEWATER_LATE_MINUTES": "soon"}, {"TIDEWATER_STOER": "/s"}):
+        with pytest.raises(ValueError):
+            Settings.load(bad)
+    assert cli.parser(found).parse_args(["features", "--silver", "x"]).store == "/s"

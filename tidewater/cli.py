@@ -10,9 +10,11 @@ import sys
 from collections.abc import Sequence
 
 from . import session
+from .settings import Settings
 
 
 def _query(a: argparse.Namespace) -> None:
+    from . import stored  # noqa: F401  adds its queries
     from .catalogue import QUERIES
 
     QUERIES[a.name](session.active(), a.tables).write.mode("overwrite").parquet(a.out)
@@ -47,7 +49,8 @@ def _publish(a: argparse.Namespace) -> None:
     print(store.publish(a.source, a.target, a.key, a.time, a.mode))
 
 
-def parser() -> argparse.ArgumentParser:
+def parser(settings: Settings | None = None) -> argparse.ArgumentParser:
+    settings = settings or Settings.load()
     top = argparse.ArgumentParser(prog="tidewater")
     stages = top.add_subparsers(required=True)
 
@@ -58,16 +61,16 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument(flag, **how)
 
     need = {"required": True}
-    stage("query", _query, ("name", {}), ("--tables", need), ("--out", need))
-    stage("ingest", _ingest, ("--landing", need), ("--silver", need), ("--checkpoint", need), ("--quarantine", {}), ("--late-after", {"type": int, "default": 10}), ("--keep-running", {"action": "store_true"}))
-    stage("features", _features, ("--silver", need), ("--store", need))
-    stage("publish", _publish, ("--store", need), ("--source", need), ("--target", need), ("--key", {"nargs": "+", "required": True}), ("--time", {"default": "event_time"}), ("--mode", {"default": "triggered"}))
+    stage("query", _query, ("name", {}), ("--tables", {"default": settings.tables}), ("--out", need))
+    stage("ingest", _ingest, ("--landing", need), ("--silver", need), ("--checkpoint", need), ("--quarantine", {}), ("--late-after", {"type": int, "default": settings.late_minutes}), ("--keep-running", {"action": "store_true"}))
+    stage("features", _features, ("--silver", need), ("--store", {"default": settings.store}))
+    stage("publish", _publish, ("--store", {"default": settings.store}), ("--source", need), ("--target", need), ("--key", {"nargs": "+", "required": True}), ("--time", {"default": "event_time"}), ("--mode", {"default": "triggered"}))
     return top
 
 
 def main(argv: Sequence[str] | None = None) -> int:
-    args = parser().parse_args(argv)
     try:
+        args = parser().parse_args(argv)
         args.run(args)
     except (ValueError, LookupError, RuntimeError) as error:
         print(f"{type(error).__name__}: {error}", file=sys.stderr)

@@ -10,13 +10,14 @@ import json
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import UTC, datetime, timedelta
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.learning import Registry, feature_set_version, ranked
+from ..operators.retrieval import nearest_before
 from ..sources.snapshots import SnapshotStore
 from .features import assemble, pr_spine
 
@@ -81,6 +82,26 @@ class Tools:
         values, baseline = contributions(fetched["features"])
         return {"contributions": ranked(values), "baseline": baseline, "model_version": model_version}
 
+    def similar_prs(self, request: Request, k: int = 10, freshest: timedelta | None = None) -> dict:
+        """The k nearest pull requests whose texts were known strictly before
+        ``as_of``.  Refused without an embedding of this one, or if ``freshest`` is
+        given and the newest embedding before ``as_of`` is older than that."""
+        name = "embeddings"
+        if self.store.table(name).version < 0:
+            return refusal("no_embeddings")
+        vectors = self.store.table(name).read(self.versions.get(name)).where(F.col("event_time") < F.lit(request.as_of))
+        key = f"pr:{request.repo_id}:{request.pr_number}"
+        own = vectors.where((F.col("entity_key") == key) & F.col("embedding").isNotNull()).orderBy(F.desc("event_time")).select("embedding").limit(1).collect()
+        if not own:
+            return refusal("not_embedded", entity_key=key)
+        if freshest is not None:
+            newest = vectors.agg(F.unix_micros(F.max("event_time")).alias("t")).first()["t"] / 1e6
+            if request.as_of.timestamp() - newest > freshest.total_seconds():
+                return refusal("stale_embeddings", newest=datetime.fromtimestamp(newest, UTC).isoformat())
+        spine = self.spark.createDataFrame([(key, request.as_of, own[0]["embedding"])], "query_key string, as_of timestamp, embedding array<double>")
+        found = nearest_before(spine, vectors.select("entity_key", "event_time", "embedding"), k).orderBy("rank").collect()  # k rows
+        return {"neighbours": [{"entity_key": r["entity_key"], "distance": r["distance"], "rank": r["rank"]} for r in found]}
+
     @staticmethod
     def _refused(fetched: dict) -> dict | None:
         if fetched.get("refused"):

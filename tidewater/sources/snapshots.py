@@ -83,6 +83,15 @@ class _Files:
         self.fs.rename(self.path(temporary), self.path(p))
 
 
+def _check(df: DataFrame, conditions: dict[str, str]) -> None:
+    """ContractError unless every row passes every condition; null does not pass."""
+    if not conditions:
+        return
+    one = df.agg(*[F.count_if(~F.coalesce(F.expr(e), F.lit(False))).alias(n) for n, e in conditions.items()]).first()
+    if broken := {k: v for k, v in one.asDict().items() if v}:
+        raise ContractError("; ".join(f"{k}: {v} rows" for k, v in sorted(broken.items())))
+
+
 class SnapshotTable:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root.rstrip("/")
@@ -108,14 +117,42 @@ class SnapshotTable:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*[f"{self.root}/{p}" for p in entry["parts"]])
 
+    def constraints(self) -> dict[str, str]:
+        """Name -> condition of the checks that every row written must pass."""
+        history = self.history()
+        return dict(history[-1].get("constraints") or {}) if history else {}
+
+    def apply_constraints(self, contract: Contract) -> dict[str, list[str]]:
+        """Make the table's checks those of ``contract``: missing ones are added,
+        differing ones replaced, others dropped, equal ones (but for case and
+        blanks) left alone.  New conditions must hold for all rows that are there,
+        or nothing changes.  Returns the names by what was done; a table whose
+        checks change gets a new version over the same files."""
+        old, new = self.constraints(), contract.row_checks()
+        same = lambda a, b: " ".join(a.split()).lower() == " ".join(b.split()).lower()
+        done = {
+            "added": sorted(set(new) - set(old)),
+            "replaced": sorted(k for k in new if k in old and not same(old[k], new[k])),
+            "dropped": sorted(set(old) - set(new)),
+        }
+        if not any(done.values()):
+            return done
+        _check(self.read(), {k: new[k] for k in done["added"] + done["replaced"]})
+        history = self.history()
+        entry = {**history[-1], "version": len(history), "added": [], "removed": [], "constraints": new}
+        self._files.replace(f"{self.root}/manifest.json", json.dumps([*history, entry]))
+        return done
+
     def _commit(self, df: DataFrame, contract: Contract | None, keep: list[str], inputs: dict | None) -> int:
         if contract:
             contract.enforce(df)
+        kept = self.constraints()
+        _check(df, kept)
         history = self.history()
         part = f"v{len(history)}-{uuid.uuid4().hex[:8]}"
         df.write.parquet(f"{self.root}/{part}")
         before = history[-1]["parts"] if history else []
-        entry = {"version": len(history), "schema": json.loads(df.schema.json()), "parts": [*keep, part], "added": [part], "removed": [p for p in before if p not in keep], "contract": asdict(contract) if contract else None, "inputs": inputs or {}}
+        entry = {"version": len(history), "schema": json.loads(df.schema.json()), "parts": [*keep, part], "added": [part], "removed": [p for p in before if p not in keep], "contract": asdict(contract) if contract else None, "constraints": kept, "inputs": inputs or {}}
         self._files.replace(f"{self.root}/manifest.json", json.dumps([*history, entry]))
         return len(history)
 
@@ -152,6 +189,17 @@ class SnapshotStore:
     def table(self, name: str) -> SnapshotTable:
         return SnapshotTable(self.spark, f"{self.root}/{name}")
 
+    def read(self, name: str, versions: dict[str, int] | None = None) -> DataFrame:
+        """A table by name, at its pinned version or the newest."""
+        return self.table(name).read((versions or {}).get(name))
+
+    def locations(self) -> DataFrame:
+        """full_name, storage_path of all tables of the store."""
+        files = _Files(self.spark, self.root)
+        found = files.fs.listStatus(files.path(self.root)) if files.fs.exists(files.path(self.root)) else []
+        rows = [(s.getPath().getName(), s.getPath().toString()) for s in found if s.isDirectory() and files.fs.exists(files.path(f"{s.getPath().toString()}/manifest.json"))]
+        return self.spark.createDataFrame(sorted(rows), "full_name string, storage_path string")
+
     def pins(self, versions: dict[str, int] | None, names: list[str]) -> dict[str, int | None]:
         """A version for every name, or for none: a frame built from a mix of
         pinned and floating inputs could not be built again."""
@@ -193,3 +241,15 @@ def key_ddl(schema: str, table: str, entity: list[str], time: str | None) -> lis
     name, columns = f"{schema}.{table}", [*entity, *([time] if time else [])]
     listed = ", ".join([*entity, *([f"{time} TIMESERIES"] if time else [])])
     return [f"ALTER TABLE {name} ALTER COLUMN {c} SET NOT NULL" for c in columns] + [f"ALTER TABLE {name} ADD CONSTRAINT {table}_pk PRIMARY KEY ({listed})", f"ALTER TABLE {name} SET TBLPROPERTIES (delta.enableChangeDataFeed = true)"]
+
+
+def catalogue_locations(spark: SparkSession, databases: list[str] | None = None) -> DataFrame:
+    """full_name, storage_path of the session catalogue's tables that have files;
+    one row for each table is collected from the catalogue."""
+    rows = []
+    for db in databases or [d.name for d in spark.catalog.listDatabases()]:
+        for t in spark.catalog.listTables(db):
+            if not t.isTemporary and t.tableType != "VIEW":
+                found = spark.sql(f"DESCRIBE TABLE EXTENDED `{db}`.`{t.name}`").where("col_name = 'Location'").collect()
+                rows += [(f"{db}.{t.name}", r["data_type"]) for r in found]
+    return spark.createDataFrame(sorted(rows), "full_name string, storage_path string")

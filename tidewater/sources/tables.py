@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +20,17 @@ def scan(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp") for c in naive}) if naive else df
 
 
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the one in ``spark.checkpoint.dir``, which executors share;
+    a temporary one only where that is unset and executors run on this machine."""
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="tidewater-")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def spark_path(path: str) -> str:
     """An address that Spark reads: URIs and cluster volumes as they are, local
     paths as absolute file URIs."""

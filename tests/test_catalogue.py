@@ -2,7 +2,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
-from tidewater import catalogue
+from tidewater import catalogue, stored
 
 SF = "/root/testdata/sf0.001"
 TABLES = "customer orders lineitem events documents embeddings".split()
@@ -41,6 +41,10 @@ def test_query_equals_its_oracle(spark, oracle, name):
     assert rows(df.columns, df.collect()) == rows(names, found.fetchall())
 
 
+def test_stored_queries_are_in_the_catalogue():
+    assert catalogue.QUERIES["table_versions"] is stored.table_versions
+
+
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
     assert set(driver.oracle_sql()) <= set(driver.queries())

@@ -17,7 +17,7 @@ from .operators import cleaning, drift, learning, lineage, retrieval
 from .operators.asof import as_of_join, rolling
 from .plans import features, gold, reports
 from .sources.snapshots import Contract
-from .sources.tables import scan
+from .sources.tables import scan, work_folder
 from .streaming.online import latest_per_key
 
 QUERIES: dict = {}
@@ -371,9 +371,31 @@ def label_breach(spark: SparkSession, sf_dir: str) -> DataFrame:
     return learning.breach_labels(fact(spark, sf_dir), 30 * 86400)
 
 
-@query("select * from (values ('censored_iff_open', 0), ('grain', 0), ('key_not_null', 0), ('known_exclusion', 0), ('label_xor_exclusion', 0), ('response_not_before_open', 0)) t(\"check\", violations)".replace(", 0)", ", cast(0 as bigint))"))
+#: The fact table with rows broken by their numbers, and its first rows twice.
+BROKEN = f"""{FACT}, b as (select case when pr_number % 13 <> 0 then repo_id end repo_id, pr_number, opened_at, closed_at,
+  case when pr_number % 17 = 0 then opened_at - interval 1 day else first_response_at end first_response_at,
+  case when pr_number % 19 = 0 then 1 when label_exclusion is null then epoch(first_response_at) - epoch(opened_at) end secs_,
+  case when pr_number % 23 = 0 then 'unheard_of' else label_exclusion end label_exclusion, case when pr_number % 29 = 0 then not is_censored else is_censored end is_censored from fact),
+  t as (select * from b union all select * from b where pr_number % 31 = 0)"""
+
+
+@query(f"""{BROKEN} select * from (
+  select 'censored_iff_open' "check", cast(count(*) filter (is_censored <> (closed_at is null)) as bigint) violations from t union all
+  select 'grain', cast(count(*) - count(distinct (coalesce(repo_id, -1), pr_number)) as bigint) from t union all
+  select 'key_not_null', cast(count(*) filter (repo_id is null) as bigint) from t union all
+  select 'known_exclusion', cast(count(*) filter (label_exclusion = 'unheard_of') as bigint) from t union all
+  select 'label_xor_exclusion', cast(count(*) filter ((secs_ is not null) = (label_exclusion is not null)) as bigint) from t union all
+  select 'response_not_before_open', cast(count(*) filter (first_response_at < opened_at) as bigint) from t)""")
 def fact_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.fact_violations(fact(spark, sf_dir))
+    f, n = fact(spark, sf_dir), F.col("pr_number")
+    f = f.withColumns({
+        "repo_id": F.when(n % 13 != 0, F.col("repo_id")),
+        "first_response_at": F.when(n % 17 == 0, F.col("opened_at") - F.expr("interval 1 day")).otherwise(F.col("first_response_at")),
+        "time_to_first_response_seconds": F.when(n % 19 == 0, 1).otherwise(F.col("time_to_first_response_seconds")),
+        "label_exclusion": F.when(n % 23 == 0, "unheard_of").otherwise(F.col("label_exclusion")),
+        "is_censored": F.when(n % 29 == 0, ~F.col("is_censored")).otherwise(F.col("is_censored")),
+    })
+    return gold.fact_violations(f.unionByName(f.where(n % 31 == 0)))
 
 
 DAILY = f"""select repo_id, cast(created_at as date) activity_date, cast(count(*) as bigint) events_total, cast(count(*) filter ({IS_BOT.format('actor_login')}) as bigint) bot_events,
@@ -491,10 +513,10 @@ def time_to_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.time_to_merge(fact(spark, sf_dir))
 
 
-@query(f"with c as ({CANONICAL}), s as ({SPINE}) select s.repo_id, s.pr_number, cast(count(*) as bigint) events_after_open from s join c on c.repo_id = s.repo_id and c.created_at > s.as_of and c.created_at < s.as_of + interval 24 hour where s.as_of >= timestamp '2024-01-28' group by 1, 2 order by 3 desc, 1, 2 limit 1")
+@query(f"with c as ({CANONICAL}), s as ({SPINE}) select s.repo_id, s.pr_number, cast(count(*) as bigint) events_after_open from s join c on c.repo_id = s.repo_id and c.created_at > s.as_of and c.created_at < s.as_of + interval 24 hour group by 1, 2 order by 3 desc, 1, 2 limit 1")
 def interval_busiest(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = canonical(spark, sf_dir)
-    opens = features.pr_spine(c).select("repo_id", "pr_number", F.col("as_of_timestamp").alias("opened_at")).where("opened_at >= timestamp '2024-01-28'")
+    opens = features.pr_spine(c).select("repo_id", "pr_number", F.col("as_of_timestamp").alias("opened_at"))
     return reports.busiest_after_open(opens, c)
 
 
@@ -603,7 +625,7 @@ def contract_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(sorted(found.items()), "check string, violations long")
 
 
-@query()
+@query("select event_id, user_id, event_type from events order by md5('0:' || event_id), event_id limit 100")
 def hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sample of 100 events, by hash order."""
     return retrieval.hash_sample(scan(spark, sf_dir, "events"), ["event_id"], 100).select("event_id", "user_id", "event_type")
@@ -612,13 +634,10 @@ def hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("select cast(event_id as varchar) event_id, user_id repo_id, cast(floor(epoch(ts)) as bigint) at_s from events")
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events through the file stream, delivered twice in part, landed once."""
-    import tempfile
-
     from .streaming import ingest
 
     e = scan(spark, sf_dir, "events")
-    root = (spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="tidewater-")).rstrip("/")
-    root = f"{root}/stream-{datetime.now(UTC).timestamp():.6f}"
+    root = work_folder(spark, "stream")
     at = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
     event = F.concat(F.lit('{"id":"'), F.col("event_id"), F.lit('","type":"PushEvent","created_at":"'), at, F.lit('","actor":"u","repo":{"id":'), F.col("user_id"), F.lit("}}"))
     rows = e.select(F.date_format(F.col("ts") + F.expr("interval 5 minutes"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("polled_at"), event.alias("event"))

@@ -3,6 +3,8 @@ so that no task sorts all rows and no buffer holds all values of a group."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,31 +67,38 @@ def quantiles(rows: DataFrame, value: str, at: dict[str, float], groups: list[st
     return found.groupBy(*groups).agg(*out)
 
 
-def select_at(rows: DataFrame, keys: list[str], ranks: list[int]) -> list[tuple]:
-    """The keys of the rows at these places (from 0, ascending) in the order of
-    ``keys``, which tell rows apart and are not null.  Counts of the first key say
-    which of its values holds each place; only the rows of these values are
-    looked at again, by the next key, and a window ends the search once they are
-    few.  One row for each place comes to the driver at each step."""
-    found: list[tuple[tuple, int, int]] = [((), r, 0) for r in ranks]  # prefix, place among its rows, rows
-    for depth, column in enumerate(keys):
-        by = keys[:depth]
-        prefixes = sorted({p for p, _, _ in found})
-        some = rows
-        if depth:
-            known = rows.sparkSession.createDataFrame(prefixes, rows.select(*by).schema)
-            some = rows.join(F.broadcast(known), by, "left_semi")  # a row for each place at most
+def select_at(rows: DataFrame, keys: list[str], ranks: Callable[[Column], Column]) -> list[tuple]:
+    """The keys of the rows at some places (from 0) in the order of ``keys``, which
+    tell rows apart and are not null; ``ranks`` makes the array of places from the
+    number of rows.  Counts of the first key say which of its values holds each
+    place; only the rows of these values are looked at again, by the next key, and
+    a window ends the search once they are few.  One row for each place comes to
+    the driver at each step."""
+    held = lambda places, at: F.filter(places, lambda x: (at(x) >= F.col("start")) & (at(x) < F.col("start") + F.col("n")))
+    counts = counted(rows, keys[0], []).withColumn("__places", held(ranks(F.col("total")), lambda x: x))
+    hits = counts.where(F.size("__places") > 0).select(keys[0], "start", "n", "__places").collect()
+    found = [((h[keys[0]],), r - h["start"], h["n"]) for h in hits for r in h["__places"]]
+    for depth in range(1, len(keys)):
+        if not found:
+            break
+        by, column = keys[:depth], keys[depth]
+        known = rows.sparkSession.createDataFrame(sorted({p for p, _, _ in found}), rows.select(*by).schema)
+        some = rows.join(F.broadcast(known), by, "left_semi")  # a row for each place at most
         places = F.array(*[F.struct(*[F.lit(x).cast(rows.schema[c].dataType).alias(c) for x, c in zip(p, by)], F.lit(r).cast("long").alias("__place")) for p, r, _ in found])
-        if depth and max(n for _, _, n in found) <= TIES:
+        if max(n for _, _, n in found) <= TIES:
             line = some.select(*keys, (F.row_number().over(Window.partitionBy(*by).orderBy(*keys[depth:])) - 1).cast("long").alias("__place"))
-            hits = line.where(F.array_contains(places, F.struct(*by, "__place"))).collect()
-            return sorted(tuple(h[c] for c in keys) for h in hits)
-        counts = counted(some, column, by).withColumn("p", F.filter(places, lambda x: F.lit(True) & _same(x, by) & (x["__place"] >= F.col("start")) & (x["__place"] < F.col("start") + F.col("n"))))
-        hits = counts.where(F.size("p") > 0).select(*by, column, "start", "n", F.transform("p", lambda x: x["__place"]).alias("__places")).collect()
+            return sorted(tuple(h[c] for c in keys) for h in line.where(F.array_contains(places, F.struct(*by, "__place"))).collect())
+        counts = counted(some, column, by).withColumn("__places", held(_of(places, by), lambda x: x["__place"]))
+        hits = counts.where(F.size("__places") > 0).select(*by, column, "start", "n", F.transform("__places", lambda x: x["__place"]).alias("__places")).collect()
         found = [(tuple(h[c] for c in [*by, column]), r - h["start"], h["n"]) for h in hits for r in h["__places"]]
     return sorted(p for p, _, _ in found)
 
 
+def _of(places: Column, columns: list[str]) -> Column:
+    """The places among the rows of this row's prefix."""
+    return F.filter(places, lambda place: _same(place, columns))
+
+
 def _same(place: Column, columns: list[str]) -> Column:
     out = F.lit(True)
     for c in columns:
@@ -102,11 +111,9 @@ def ntile(rows: DataFrame, groups: int, keys: list[str], name: str) -> DataFrame
     ``groups`` in the order of ``keys``, as the window function does.  The rows at
     which groups begin are selected first; then a row's group is how many of
     these do not come after it."""
-    total = rows.count()
-    size, extra = divmod(total, groups)
-    begins = [k * size + min(k, extra) for k in range(1, groups)]
-    begins = sorted({b for b in begins if 0 < b < total})
-    edges = select_at(rows, keys, begins) if begins else []
+    begin = lambda total: F.transform(F.sequence(F.lit(1), F.lit(groups - 1)), lambda k: k * F.floor(total / groups) + F.least(k.cast("long"), total % groups))
+    begins = lambda total: F.filter(F.array_distinct(begin(total)), lambda b: (b > 0) & (b < total))
+    edges = select_at(rows, keys, begins) if groups > 1 else []
     row = F.struct(*keys)
     begun = F.array(*[F.struct(*[F.lit(x).cast(rows.schema[c].dataType).alias(c) for x, c in zip(edge, keys)]) for edge in edges])
     number = F.size(F.filter(begun, lambda edge: edge <= row)) + 1 if edges else F.lit(1)

@@ -76,6 +76,17 @@ class MetricsListener(StreamingQueryListener):
         pass
 
 
+def observed(query: StreamingQuery, name: str = "ingest") -> dict[str, int]:
+    """Sums of observed counts over the recent batches of a query (Spark keeps the
+    last hundred; ``MetricsListener`` sees all)."""
+    totals: dict[str, int] = {}
+    for progress in query.recentProgress:
+        row = progress["observedMetrics"].get(name)
+        for k, v in (row.asDict() if hasattr(row, "asDict") else row or {}).items():
+            totals[k] = totals.get(k, 0) + (v or 0)
+    return totals
+
+
 def land_batch(batch: DataFrame, dest: str, batch_id: int, key: str = "event_id", quarantine: str | None = None) -> int:
     """Insert the rows of a batch whose ids the table lacks; returns how many.
 

@@ -53,12 +53,10 @@ def test_components_equal_brute_force(spark, make_docs):
     texts += texts[:10] + ["short one", "short one", "Short  ONE", "x"]
     rng.shuffle(texts)
     rows = list(enumerate(texts))
-    for percent in (80, 85):
-        got = neardup.near_duplicates(make_docs([(i, t, "en", "s") for i, t in rows]), percent).collect()
-        want = brute(rows, percent)
-        assert {r["doc_id"]: r["component_id"] for r in got} == want
-        assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
-        assert {r["doc_id"]: r["n_shingles"] for r in got} == {i: len(shingles(t)) for i, t in rows}
+    got = neardup.near_duplicates(make_docs([(i, t, "en", "s") for i, t in rows]), 85).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == brute(rows, 85)
+    assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
+    assert {r["doc_id"]: r["n_shingles"] for r in got} == {i: len(shingles(t)) for i, t in rows}
 
 
 def test_crowded_keys_are_resolved_in_blocks(spark, make_docs, monkeypatch):
@@ -66,7 +64,7 @@ def test_crowded_keys_are_resolved_in_blocks(spark, make_docs, monkeypatch):
     rows = list(enumerate(family(rng, 90, 150, 14)))
     crossing = neardup._crossing
     asked = []
-    monkeypatch.setattr(neardup, "_crossing", lambda *a: asked.append(a[-1]) or crossing(*a, block=16))
+    monkeypatch.setattr(neardup, "_crossing", lambda *a: asked.append(a[-1]) or crossing(*a, block=16, few=0))
     got = neardup.near_duplicates(make_docs([(i, t, "en", "s") for i, t in rows]), 85)
     assert {r["doc_id"]: r["component_id"] for r in got.collect()} == brute(rows, 85)
     assert asked == [True, False]
@@ -78,13 +76,35 @@ def test_a_crowded_key_of_one_family_costs_its_strangers_only(spark):
     sig = np.arange(slots, dtype=np.uint16).tobytes()
     reps = spark.range(n).select("id", F.lit(bytearray(sig)).alias("sig"))
     wide = spark.range(n).select("id", F.lit(bytearray(neardup.WIDE)).alias("wide"), F.lit(100).cast("long").alias("size"))
-    for nearest, pairs in ((True, 3 * 4 + 3), (False, 3 * (n - 3) + 3)):  # blocks of 1024: four; and the strangers with one another
+    for nearest, pairs in ((True, 3 + 2), (False, 3 * (n - 3) + 3)):  # each stranger with the family, and with another one
         got = neardup._crossing(placed, reps, wide, slots, 15, 85, nearest)
         assert got.count() == pairs
     sent = neardup._mixed(placed).first()
     assert (sent["main"], sent["n"], sent["s"]) == (0, n, 3)
 
 
+def test_gathered_keys_give_the_pairs_of_single_ones():
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 16, 32).astype(np.uint16)
+    n = 40
+    sigs = np.where(rng.random((n, 32)) < 0.15, rng.integers(0, 1 << 16, (n, 32)), base).astype(np.uint16)
+    comp = rng.integers(0, 6, n)
+    main = np.bincount(comp).argmax()
+    rows = {"id": np.arange(n), "comp": comp, "size": rng.integers(90, 110, n), "sig": [x.tobytes() for x in sigs], "wide": [bytes(neardup.WIDE)] * n}
+
+    def of(at, asks, key):
+        table = {k: [v[i] for i in at] for k, v in rows.items()} | {"asks": asks, "key": key, "slot": [0] * len(at), "main": [main] * len(at)}
+        return neardup._Members(neardup.pa.table(table), 32, 15, 85)
+
+    strangers = [i for i in range(n) if comp[i] != main]
+    one = of(strangers + [*range(n)], [True] * len(strangers) + [False] * n, [7] * (n + len(strangers)))
+    many = of([*range(n)] * 2, [False] * (2 * n), [7] * n + [8] * n)
+    pairs = lambda t: {(min(a, b), max(a, b)) for a, b in zip(t["a"].to_pylist(), t["b"].to_pylist())}
+    want = pairs(one.pairs(one.under_one_key(), False))
+    assert len(want) > 50 and pairs(many.pairs(many.under_many_keys(), False)) == want
+    assert 0 < len(pairs(one.pairs(one.under_one_key(), True))) <= 2 * len(strangers)
+
+
 def test_ids_that_repeat_with_other_texts(make_docs):
     """Each row is a document: a second, unrelated text under an id changes nothing."""
     rng = random.Random(11)

@@ -19,8 +19,9 @@ ever gathered or all paired with one another.
 3. Where a key still holds several components, the nodes outside its largest one
    (strangers) are compared with all others of the key by signature, block by
    block, and what neither the distance nor set sizes nor long signatures refute
-   is compared on full sets: first the nearest of each other component only,
-   which joins most of what belongs together, then all that are still apart.
+   is compared on full sets: first each stranger's nearest node of the largest
+   component and of all others only, which joins most of what belongs together;
+   then all that are still apart.
    The work on a key is its strangers times its nodes, so linear where nearly
    all belong together; blocks have bounded size, so a key with any number of
    nodes is spread over tasks.
@@ -186,27 +187,33 @@ def _within(pairs: DataFrame, reps: DataFrame, slots: int, most: int) -> DataFra
 
 
 def _confirm(pairs: DataFrame, reps: DataFrame, docs: DataFrame, percent: int, width: int) -> DataFrame:
-    """The pairs whose full shingle sets have 100 * intersection >= percent * union."""
+    """The pairs whose full shingle sets have 100 * intersection >= percent * union.
+    The set of a node is made once, however many pairs it is in."""
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    texts = scratch.table(_texts(ids, reps, docs), "texts")
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = WordHasher()
+        for b in slices(batches, "t"):
+            sets = [shingle_set(hasher(words_of(t)), width).tobytes() for t in as_bytes(b.column("t"))]
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(sets, pa.binary())], ["id", "s"])
+
+    sets = scratch.table(_texts(ids, reps, docs).mapInArrow(make, "id long, s binary"), "sets")
     both = (
-        pairs.join(texts.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b")
-        .join(texts.select(F.col("id").alias("a"), F.col("t").alias("ta")), "a")
-        .select("a", "b", "ta", "tb")
+        pairs.join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
+        .join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
+        .select("a", "b", "sa", "sb")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, last, kept = WordHasher(), None, np.zeros(0, U64)
-        for b in slices(batches, "ta", 4 << 20):
+        for b in slices(batches, "sa", 4 << 20):
             ok = []
-            for x, y in zip(as_bytes(b.column("ta")), as_bytes(b.column("tb"))):
-                if x != last:
-                    last, kept = x, shingle_set(hasher(words_of(x)), width)
-                other = shingle_set(hasher(words_of(y)), width)
-                shared = len(np.intersect1d(kept, other, assume_unique=True))
-                union = len(kept) + len(other) - shared
-                ok.append(bool(union) and 100 * shared >= percent * union)
-            part = b.filter(pa.array(ok))
+            for x, y in zip(b.column("sa").to_pylist(), b.column("sb").to_pylist()):
+                x, y = np.frombuffer(x, U64), np.frombuffer(y, U64)
+                joint = np.concatenate([x, y])
+                joint.sort(kind="stable")  # two sorted runs
+                shared = int((joint[1:] == joint[:-1]).sum())
+                ok.append(len(joint) > 0 and 100 * shared >= percent * (len(joint) - shared))
+            part = b.filter(pa.array(ok, pa.bool_()))
             yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], ["a", "b"])
 
     return both.mapInArrow(run, "a long, b long")
@@ -244,60 +251,97 @@ def _mixed(placed: DataFrame) -> DataFrame:
     return found.where("most.own < n").select("key", F.col("most.comp").alias("main"), "n", (F.col("n") - F.col("most.own")).alias("s"))
 
 
-def _crossing(placed: DataFrame, reps: DataFrame, wide: DataFrame, slots: int, most: int, percent: int, nearest: bool, block: int = 1024) -> DataFrame:
-    """Pairs (a < b) of different components that share a key, lie within the
-    distance and are not refuted by set sizes or long signatures.  ``placed``:
-    key, slot, id, comp.  A pair is compared under the first key it shares and
-    passed over under the others.  ``nearest``: of the pairs of a stranger with a
-    component in a block, the nearest only."""
-    far_wide = allowed(WIDE, percent / 100)
-    dealt = placed.join(_mixed(placed), "key").join(reps.select("id", "sig"), "id").join(wide, "id")
-    members, strangers = F.ceil(F.col("n") / block).cast("int"), F.ceil(F.col("s") / block).cast("int")
-    at = lambda blocks: F.pmod(F.xxhash64("id"), blocks).cast("int")
-    every = lambda blocks: F.explode(F.sequence(F.lit(0), blocks - 1))
-    columns = ["key", "slot", "id", "comp", "main", "sig", "wide", "size"]
-    left = dealt.where("comp != main").select(*columns, F.lit(True).alias("asks"), every(members).alias("i"), at(strangers).alias("j"))
-    right = dealt.select(*columns, F.lit(False).alias("asks"), at(members).alias("i"), every(strangers).alias("j"))
+class _Members:
+    """The rows of a group of ``_crossing``, and which pairs of them may be links."""
 
-    def run(table: pa.Table) -> pa.Table:
-        asks, ids, comp, size = (table.column(c).to_numpy() for c in ("asks", "id", "comp", "size"))
-        slot, main = table.column("slot")[0].as_py(), table.column("main")[0].as_py()
-        sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(-1, slots)
-        longs = np.frombuffer(b"".join(table.column("wide").to_pylist()), np.uint8).reshape(-1, WIDE)
-        by_size = np.argsort(size, kind="stable")
-        left, right = by_size[asks[by_size]], by_size[~asks[by_size]]
-        sizes, a, b = size[right], [], []
+    def __init__(self, table: pa.Table, slots: int, most: int, percent: int) -> None:
+        self.most, self.percent, self.far_wide = most, percent, allowed(WIDE, percent / 100)
+        self.asks, self.key, self.slot, self.id, self.comp, self.main, self.size = (table.column(c).to_numpy() for c in ("asks", "key", "slot", "id", "comp", "main", "size"))
+        self.sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(-1, slots)
+        self.wide = np.frombuffer(b"".join(table.column("wide").to_pylist()), np.uint8).reshape(-1, WIDE)
+
+    def under_one_key(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Strangers against members of a key, all within the distance."""
+        by_size = np.argsort(self.size, kind="stable")
+        left, right = by_size[self.asks[by_size]], by_size[~self.asks[by_size]]
+        sizes = self.size[right]
         for k in range(0, len(left), 128):
             rows = left[k : k + 128]
             # sets of like sizes only: 100 * smaller >= percent * larger
-            low, high = np.searchsorted(sizes, -(-size[rows[0]] * percent // 100)), np.searchsorted(sizes, size[rows[-1]] * 100 // percent, "right")
-            others = right[low:high]
+            low = np.searchsorted(sizes, -(-self.size[rows[0]] * self.percent // 100))
+            others = right[low : np.searchsorted(sizes, self.size[rows[-1]] * 100 // self.percent, "right")]
             far = np.zeros((len(rows), len(others)), np.uint8)
-            for s in range(slots):
-                far += sigs[rows, s][:, None] != sigs[others, s][None, :]
-            x, y = np.nonzero((far <= most) & (comp[rows][:, None] != comp[others][None, :]))
+            for s in range(self.sigs.shape[1]):
+                far += self.sigs[rows, s][:, None] != self.sigs[others, s][None, :]
+            x, y = np.nonzero(far <= self.most)
             x, y = rows[x], others[y]
-            once = (comp[y] == main) | (ids[x] < ids[y])  # two strangers meet twice
-            fits = once & (100 * np.minimum(size[x], size[y]) >= percent * np.maximum(size[x], size[y]))
+            once = (self.comp[y] == self.main[y]) | (self.id[x] < self.id[y])  # two strangers meet twice
+            yield x[once], y[once]
+
+    def under_many_keys(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """All pairs under each of many keys with few members each."""
+        order = np.argsort(self.key, kind="stable")
+        for apart in range(1, len(order)):
+            same = np.flatnonzero(self.key[order[apart:]] == self.key[order[:-apart]])
+            if not len(same):
+                return
+            x, y = order[same], order[same + apart]
+            swap = self.comp[x] == self.main[x]  # the stranger comes first
+            yield np.where(swap, y, x), np.where(swap, x, y)
+
+    def pairs(self, found: Iterator[tuple[np.ndarray, np.ndarray]], nearest: bool) -> pa.Table:
+        """a, b, apart, main of the pairs that nothing refutes."""
+        parts = []
+        for x, y in found:
+            fits = (self.comp[x] != self.comp[y]) & (100 * np.minimum(self.size[x], self.size[y]) >= self.percent * np.maximum(self.size[x], self.size[y]))
             x, y = x[fits], y[fits]
             for m in range(0, len(x), 4096):
                 u, v = x[m : m + 4096], y[m : m + 4096]
-                first = first_shared(sigs[u], sigs[v]) == slot
+                first = first_shared(self.sigs[u], self.sigs[v]) == self.slot[u]
                 u, v = u[first], v[first]
-                apart = (longs[u] != longs[v]).sum(axis=1)
-                near = apart <= far_wide
+                near = (self.sigs[u] != self.sigs[v]).sum(axis=1) <= self.most
+                u, v = u[near], v[near]
+                apart = (self.wide[u] != self.wide[v]).sum(axis=1)
+                near = apart <= self.far_wide
                 u, v, apart = u[near], v[near], apart[near]
+                main = self.comp[v] == self.main[v]
                 if nearest and len(u):
-                    order = np.lexsort((ids[v], apart, comp[v], u))
-                    u, v = u[order], v[order]
-                    least = np.concatenate([[True], (u[1:] != u[:-1]) | (comp[v][1:] != comp[v][:-1])])
-                    u, v = u[least], v[least]
-                a.append(ids[u])
-                b.append(ids[v])
-        a, b = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (a, b))
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-
-    return left.unionByName(right).groupBy("key", "i", "j").applyInArrow(run, "a long, b long").distinct()
+                    order = np.lexsort((self.id[v], apart, main, u))
+                    u, v, apart, main = u[order], v[order], apart[order], main[order]
+                    least = np.concatenate([[True], (u[1:] != u[:-1]) | (main[1:] != main[:-1])])
+                    u, v, apart, main = u[least], v[least], apart[least], main[least]
+                parts.append((self.id[u], self.id[v], apart.astype(np.int64), main))
+        join = lambda k, kind: np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, kind)
+        return pa.table({"a": join(0, np.int64), "b": join(1, np.int64), "apart": join(2, np.int64), "main": join(3, bool)})
+
+
+def _crossing(placed: DataFrame, reps: DataFrame, wide: DataFrame, slots: int, most: int, percent: int, nearest: bool, block: int = 1024, few: int = 64) -> DataFrame:
+    """Pairs (a < b) of different components that share a key, lie within the
+    distance and are not refuted by set sizes or long signatures.  ``placed``:
+    key, slot, id, comp.  A pair is compared under the first key it shares and
+    passed over under the others.  ``nearest``: of the pairs of a stranger, the
+    nearest one with a main component and the nearest one with any other only.
+    Keys with ``few`` nodes at most are gathered, about 5,000 nodes at a time."""
+    mixed = scratch.table(_mixed(placed), "mixed")
+    dealt = placed.join(mixed, "key").join(reps.select("id", "sig"), "id").join(wide, "id")
+    gathered = max(1, -(-(mixed.where(F.col("n") <= few).agg(F.sum("n")).first()[0] or 0) // 5_000))
+    members, strangers = F.ceil(F.col("n") / block).cast("int"), F.ceil(F.col("s") / block).cast("int")
+    at = lambda blocks: F.pmod(F.xxhash64("id"), blocks).cast("int")
+    every = lambda blocks: F.explode(F.sequence(F.lit(0), blocks - 1))
+    columns = ["key", "slot", "id", "comp", "main", "sig", "wide", "size"]
+    small, large = dealt.where(F.col("n") <= few), dealt.where(F.col("n") > few)
+    small = small.select(*columns, F.lit(False).alias("asks"), F.pmod(F.xxhash64("key"), F.lit(gathered)).alias("cell"), F.lit(-1).alias("i"), F.lit(-1).alias("j"))
+    left = large.where("comp != main").select(*columns, F.lit(True).alias("asks"), F.col("key").alias("cell"), every(members).alias("i"), at(strangers).alias("j"))
+    right = large.select(*columns, F.lit(False).alias("asks"), F.col("key").alias("cell"), at(members).alias("i"), every(strangers).alias("j"))
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = _Members(table, slots, most, percent)
+        return rows.pairs(rows.under_many_keys() if table.column("i")[0].as_py() < 0 else rows.under_one_key(), nearest)
+
+    found = small.unionByName(left).unionByName(right).groupBy("cell", "i", "j").applyInArrow(run, "a long, b long, apart long, main boolean")
+    if nearest:
+        found = found.groupBy("a", "main").agg(F.min_by("b", F.struct("apart", "b")).alias("b"))
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewater.llm import quality, toxicity
-from tidewater.llm.labelled import best_threshold, fold, platt, sigmoid
+from tidewater.llm.labelled import all_labelled, best_threshold, fold, platt, sigmoid
 
 import numpy as np
 
@@ -82,3 +82,57 @@ def test_calibration_helpers():
     assert platt(raw, np.ones(len(raw))) == (1.0, 0.0)
     assert 0.2 < best_threshold(np.repeat([0.1, 0.2, 0.9], 20), np.repeat([0, 0, 1], 20)) < 0.9
     assert best_threshold(np.array([0.5]), np.array([1])) == 0.3
+
+
+def test_toxicity_learns_from_every_labelled_document(spark, make_docs, monkeypatch):
+    """However small the shares: rare words are counted, and scores calibrated, over all of them."""
+    docs, labels = corpus(make_docs, spark)
+    rare = [f"zq{c}" for c in "abcdefghij"]
+    words = F.element_at(F.array(*map(F.lit, rare)), (F.col("doc_id") % 10 + 1).cast("int"))
+    docs = docs.withColumn("text", F.when(F.col("doc_id") < 100, F.concat_ws(" ", "text", words)).otherwise(F.col("text")))
+    models, calibrated = [], []
+    train, platt_ = toxicity.train, toxicity.platt
+    monkeypatch.setattr(toxicity, "train", lambda *a: models.append(train(*a)) or models[-1])
+    monkeypatch.setattr(toxicity, "platt", lambda raw, label: calibrated.append(len(label)) or platt_(raw, label))
+    first = toxicity.toxicity(docs, labels, F.lit(True), rows=100)
+    assert models[0].embed(models[0].rows_of(toxicity.word_parts([w.encode() for w in rare]))).any(axis=1).all()
+    assert 700 / 5 - 7 <= calibrated[0] <= 700 / 5
+    # the shares and the sum of their moves depend on no order and no partitioning
+    again = toxicity.toxicity(docs.repartition(7), labels.repartition(2), F.lit(True), rows=100)
+    assert sorted(first.collect()) == sorted(again.collect())
+
+
+def test_state_of_a_model_is_whole():
+    model = toxicity.TextCNN(bits=4, dim=3, widths=(1, 2), filters=5)
+    model.start(np.ones((2, 17), bool))
+    state = np.random.default_rng(2).normal(size=model.state().shape).astype(np.float32)
+    model.restore(state)
+    filled = sum(x.size for x in model._dense()) + 1
+    assert (model.state()[:32] == state[:32]).all()
+    for side in (slice(0, 3), slice(3, 6)):
+        assert (model.state()[32:, side].ravel()[:filled] == state[32:, side].ravel()[:filled]).all()
+    assert not model.tables[0][-1].any() and not model.tables[1][-1].any()
+
+
+def test_all_labelled_rows_by_either_join(spark, make_docs):
+    docs, labels = corpus(make_docs, spark, 120)
+    docs = docs.unionByName(docs.where("doc_id = 7"))
+    for most in (0, 1000):
+        found, n = all_labelled(docs, labels, "toxic", F.col("doc_id") != 3, ["lang"], broadcast=most)
+        got = found.select("doc_id", "label").collect()
+        assert n == 119 and sorted(got) == sorted((i, int(i % 4 == 0)) for i in [*range(120), 7] if i != 3)
+
+
+def test_units_hold_every_labelled_document(spark, make_docs):
+    """A share that is far too long (here one id repeated) is several units; none of its rows is lost."""
+    docs, labels = corpus(make_docs, spark, 90)
+    docs = docs.unionByName(docs.where("doc_id = 8").crossJoin(spark.range(50).select()))
+    model = toxicity.TextCNN(bits=10)
+    found, n = all_labelled(docs, labels, "toxic", F.lit(True), ["lang"])
+    units = toxicity._units(found, 9, 10, model).toArrow().to_batches()
+    opened = [u for b in units for u in toxicity._opened(b, model.bits)]
+    assert n == 90 and sum(len(label) for _, _, label, _, _ in opened) == 140 and max(len(u[2]) for u in opened) <= 20
+    words = sum(len(r["text"].split()) for r in found.collect())
+    assert sum(len(t) for _, texts, _, _, _ in opened for t in texts) == words
+    assert sum(label.sum() for _, _, label, _, _ in opened) == sum(r["label"] for r in found.collect())
+    assert all(rows.shape[0] == 2 and all((t < rows.shape[1]).all() for t in texts) for rows, texts, _, _, _ in opened)

@@ -1,4 +1,4 @@
-"""Bounded samples of labelled documents, and scores turned to probabilities."""
+"""Labelled documents, all or bounded samples, and scores turned to probabilities."""
 
 from __future__ import annotations
 
@@ -23,6 +23,16 @@ def first_by_hash(rows: DataFrame, id_col: str, n: int) -> DataFrame:
     return rows.orderBy(hashed, id_col).limit(n)
 
 
+def usable(labels: DataFrame, label: str, learn_from: Column) -> DataFrame:
+    """doc_id and label (0/1), one row an id, of what passes ``learn_from`` (over doc_id)."""
+    return (
+        labels.select("doc_id", F.col(label).cast("int").alias("label"))
+        .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & learn_from)
+        .groupBy("doc_id")
+        .agg(F.max("label").alias("label"))
+    )
+
+
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, learn_from: Column, rows: int, more: list[str] | None = None) -> DataFrame:
     """doc_id, text, label (0/1) and the columns ``more`` of at most ``rows`` labelled documents.
 
@@ -30,17 +40,21 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, learn_from:
     ``learn_from`` (over doc_id) and have a label, so the sample is the same on
     every run.  The chosen ids, ``rows`` at most, are broadcast to one scan.
     """
-    chosen = (
-        labels.select("doc_id", F.col(label).cast("int").alias("label"))
-        .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & learn_from)
-        .groupBy("doc_id")
-        .agg(F.max("label").alias("label"))
-    )
-    chosen = first_by_hash(chosen, "doc_id", rows)
+    chosen = first_by_hash(usable(labels, label, learn_from), "doc_id", rows)
     found = docs.select("doc_id", "text", *(more or [])).where(F.col("text").isNotNull())
     return found.join(F.broadcast(chosen), "doc_id")
 
 
+def all_labelled(docs: DataFrame, labels: DataFrame, label: str, learn_from: Column, more: list[str] | None = None, broadcast: int = 2_000_000) -> tuple[DataFrame, int]:
+    """doc_id, text, label (0/1) and the columns ``more`` of every labelled
+    document, and the number of labelled ids.  Up to ``broadcast`` ids are
+    broadcast to one scan; more are joined in the way that Spark chooses."""
+    chosen = usable(labels, label, learn_from)
+    n = chosen.count()
+    found = docs.select("doc_id", "text", *(more or [])).where(F.col("text").isNotNull())
+    return found.join(F.broadcast(chosen) if n <= broadcast else chosen, "doc_id"), n
+
+
 def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -40, 40)))
 

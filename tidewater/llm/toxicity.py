@@ -9,11 +9,19 @@ largest response of each filter (max pooling) feeds a logistic unit.  Parts
 seen in fewer than ``min_docs`` training documents have no embedding (zero),
 so unknown words are neutral however long the text is.
 
-Training takes a bounded sample: ``rows`` documents, whole, however long (the
-driver gets numbers of their words, 4 bytes a word, and their distinct parts).  A
-fifth of it is held out to turn scores into probabilities and to calibrate one
-threshold for each language; the language chooses a threshold, and never
-changes a score.
+Training takes every labelled document, whole, however long.  They are dealt by
+a hash of the id into shares of about ``rows`` documents.  In each round all
+shares go once through their documents, side by side, from one common model;
+then each parameter moves by the mean of its moves in the shares that moved it,
+and so does the sum of squares that sets its step.  A single share is plain
+Adagrad.  Moves are summed in fixed point, so their order and the number of
+workers do not matter.  The driver gets the model of a round, whatever the
+input; no text and no word comes to it.
+
+A fifth of every share is held out from the rounds, to turn scores into
+probabilities and to calibrate one threshold for each language on all of them
+(the driver gets score, label and language of each); the language chooses a
+threshold, and never changes a score.
 
 Nulls: a null or empty text gets the score of no words.  A null language takes
 the common threshold.  A null id is scored and never trained on.  Documents that
@@ -25,6 +33,7 @@ Columns other than doc_id, text and lang are not looked at.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from copy import deepcopy
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +41,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .labelled import best_threshold, platt, sigmoid, training_sample
+from . import scratch
+from .labelled import all_labelled, best_threshold, platt, sigmoid
 from .tokens import U64, as_bytes, mix, slices, words_of
 
 _EDGE = b".,;:!?\"'()[]{}<>*_-%$&#|"
@@ -40,10 +50,6 @@ _EDGE = b".,;:!?\"'()[]{}<>*_-%$&#|"
 PREFIXES = (4, 5, 6, 7)
 
 
-def clean_words(text: bytes | None) -> list[bytes]:
-    return [w.strip(_EDGE) for w in words_of(text)]
-
-
 def word_parts(words: list[bytes]) -> np.ndarray:
     """(n, 1 + prefixes) hashes of the parts of words; 0 where a word is too short."""
     out = np.zeros((len(words), 1 + len(PREFIXES)), U64)
@@ -59,12 +65,20 @@ def word_parts(words: list[bytes]) -> np.ndarray:
 
 
 class _Index(dict):
+    """Numbers of clean words, by words as they stand in a text, so that each
+    spelling is cleaned once."""
+
     def __init__(self) -> None:
         self.new: list[bytes] = []
+        self._clean: dict[bytes, int] = {}
 
     def __missing__(self, word: bytes) -> int:
-        value = self[word] = len(self)
-        self.new.append(word)
+        clean = word.strip(_EDGE)
+        value = self._clean.get(clean)
+        if value is None:
+            value = self._clean[clean] = len(self._clean)
+            self.new.append(clean)
+        self[word] = value
         return value
 
 
@@ -91,7 +105,12 @@ class TextCNN:
 
     def embed(self, rows: np.ndarray) -> np.ndarray:
         """(n, 2 * dim): a word is the sum of its parts."""
-        return np.concatenate([self.tables[i][rows[i]].sum(axis=1) for i in range(2)], axis=1)
+        out = np.concatenate([self.tables[i].take(rows[i][:, 0], axis=0) for i in range(2)], axis=1)
+        for i in range(2):
+            own = out[:, i * self.dim : (i + 1) * self.dim]
+            for k in range(1, rows.shape[2]):
+                own += self.tables[i].take(rows[i][:, k], axis=0)  # much faster than an index
+        return out
 
     def _windows(self, x: np.ndarray, k: int) -> np.ndarray:
         n = len(x) - k + 1
@@ -108,7 +127,7 @@ class TextCNN:
         ``vectors`` (whose last row is zero); a long text may have several
         pieces that overlap by the largest width - 1."""
         pad = np.full(max(self.widths), len(vectors) - 1)
-        x = vectors[np.concatenate([x for p in pieces for x in (p, pad)])]
+        x = vectors.take(np.concatenate([x for p in pieces for x in (p, pad)]), axis=0)
         ends = np.cumsum([len(p) + len(pad) for p in pieces])
         starts = np.concatenate([[0], ends[:-1]])
         out = np.zeros((n, self.filters * len(self.widths)), np.float32)
@@ -157,7 +176,7 @@ class TextCNN:
             while stop < len(todo) and (stop == at or size < piece):
                 size += todo[stop][2] - todo[stop][1]
                 stop += 1
-            x = vectors[np.concatenate([ids[a:b] for _, a, b in todo[at:stop]])]
+            x = vectors.take(np.concatenate([ids[a:b] for _, a, b in todo[at:stop]]), axis=0)
             for j, k in enumerate(self.widths):
                 h = self._windows(x, k) @ self.kernels[j] + self.biases[j]
                 begin = 0
@@ -171,117 +190,264 @@ class TextCNN:
             at = stop
         return best, where
 
-    def fit(self, parts: np.ndarray, texts: list[np.ndarray], label: np.ndarray, epochs: int = 8, rate: float = 0.1, min_docs: int = 3, seed: int = 3) -> None:
-        """Adagrad on the logistic loss; a step touches only the words that gave
-        some filter its largest response.  ``texts`` hold rows of ``parts``."""
-        rows, none = self.rows_of(parts), 1 << self.bits
-        seen = [np.zeros(none + 1, np.int32) for _ in range(2)]
-        for t in texts:
+    def start(self, known: np.ndarray) -> None:
+        """Begin training; parts that are not ``known`` (2, table rows) have no embedding."""
+        for t, own in zip(self.tables, known):
+            t[~own] = 0
+        self.squares = [np.full_like(x, 1e-3) for x in (*self.tables, *self._dense())]
+        self.bias_square = 1e-3
+
+    def _dense(self) -> list[np.ndarray]:
+        return [*self.kernels, *self.biases, self.out]
+
+    def state(self) -> np.ndarray:
+        """Rows of ``dim`` parameters and their ``dim`` sums of squares: first
+        those of the tables, then all others."""
+        sides = []
+        for arrays, last in ((self.tables + self._dense(), self.out_bias), (self.squares, self.bias_square)):
+            rest = np.concatenate([x.ravel() for x in arrays[2:]] + [[last]])
+            sides.append(np.concatenate([*[t[:-1] for t in arrays[:2]], np.pad(rest, (0, -len(rest) % self.dim)).reshape(-1, self.dim)]))
+        return np.concatenate(sides, axis=1, dtype=np.float32)
+
+    def restore(self, state: np.ndarray) -> None:
+        lasts, n = [], 1 << self.bits
+        for side, arrays in enumerate((self.tables + self._dense(), self.squares)):
+            own = state[:, side * self.dim : (side + 1) * self.dim]
+            arrays[0][:-1], arrays[1][:-1] = own[:n], own[n : 2 * n]
+            rest, at = own[2 * n :].ravel(), 0
+            for x in arrays[2:]:
+                x[...] = rest[at : at + x.size].reshape(x.shape)
+                at += x.size
+            lasts.append(float(rest[at]))
+        self.out_bias, self.bias_square = lasts
+
+    def fit(self, rows: np.ndarray, texts: list[np.ndarray], label: np.ndarray, known: np.ndarray, weight: float, round_: int, rate: float = 0.1, seed: int = 3) -> None:
+        """One round of Adagrad on the logistic loss, after ``start``; a step touches
+        only the words that gave some filter its largest response.  ``texts`` hold
+        numbers of words, ``rows`` the table rows of these, ``weight`` is that of label 1."""
+        weight = np.where(label > 0, weight, 1.0)
+        dense, squares, table_squares = self._dense(), self.squares[2:], self.squares[:2]
+        rng, f, w = np.random.default_rng([seed, round_]), self.filters, len(self.widths)
+        order, met, number = rng.permutation(len(texts)), np.zeros(rows.shape[1], bool), np.zeros(rows.shape[1], np.int64)
+        for at in range(0, len(order), 32):
+            batch = order[at : at + 32]
+            words = np.concatenate([texts[i] for i in batch])
+            met[words] = True
+            used = np.flatnonzero(met)
+            met[used], number[used] = False, np.arange(len(used))
+            inverse = number.take(words)
+            vectors = np.concatenate([self.embed(rows.take(used, axis=1)), np.zeros((1, 2 * self.dim), np.float32)])
+            cuts = np.cumsum([len(texts[i]) for i in batch])[:-1]
+            pad = np.full(max(self.widths), len(used))
+            ids = np.concatenate([y for p in np.split(inverse, cuts) for y in (p, pad)])
+            best, where = self._strongest(vectors, ids, np.cumsum([len(texts[i]) + len(pad) for i in batch]))
+            act = np.maximum(best, 0)
+            error = ((sigmoid(act @ self.out + self.out_bias) - label[batch]) * weight[batch] / len(batch)).astype(np.float32)
+            back = np.outer(error, self.out) * (best > 0)
+            grads: list = [None] * len(dense)
+            grads[-1] = act.T @ error + 1e-5 * self.out
+            down_all = np.zeros_like(vectors)
+            for j, k in enumerate(self.widths):
+                g, arg = back[:, j * f : (j + 1) * f], where[j]
+                windows = np.concatenate([vectors[ids[arg + i]] for i in range(k)], axis=2)
+                grads[j] = np.einsum("bfd,bf->df", windows, g)
+                grads[w + j] = g.sum(axis=0)
+                down = np.einsum("bf,df->bfd", g, self.kernels[j]).reshape(len(batch), f, k, -1)
+                for i in range(k):
+                    np.add.at(down_all, ids[arg + i].ravel(), down[:, :, i].reshape(-1, 2 * self.dim))
+            down_all[-1] = 0
+            hit = np.flatnonzero((down_all != 0).any(axis=1))
             for i in range(2):
-                seen[i][np.unique(rows[i][t])] += 1
-        for i in range(2):
-            seen[i][none] = 0
-            self.tables[i][seen[i] < min_docs] = 0
-        weight = np.where(label > 0, np.sqrt(max(1.0, (label == 0).sum() / max(1, (label > 0).sum()))), 1.0)
-        dense = [*self.kernels, *self.biases, self.out]
-        squares = [np.full_like(x, 1e-3) for x in dense]
-        table_squares = [np.full_like(x, 1e-3) for x in self.tables]
-        bias_square, rng, f, w = 1e-3, np.random.default_rng(seed), self.filters, len(self.widths)
-        for _ in range(epochs):
-            order = rng.permutation(len(texts))
-            for at in range(0, len(order), 32):
-                batch = order[at : at + 32]
-                used, inverse = np.unique(np.concatenate([texts[i] for i in batch]), return_inverse=True)
-                vectors = np.concatenate([self.embed(rows[:, used]), np.zeros((1, 2 * self.dim), np.float32)])
-                cuts = np.cumsum([len(texts[i]) for i in batch])[:-1]
-                pad = np.full(max(self.widths), len(used))
-                ids = np.concatenate([y for p in np.split(inverse, cuts) for y in (p, pad)])
-                best, where = self._strongest(vectors, ids, np.cumsum([len(texts[i]) + len(pad) for i in batch]))
-                act = np.maximum(best, 0)
-                error = ((sigmoid(act @ self.out + self.out_bias) - label[batch]) * weight[batch] / len(batch)).astype(np.float32)
-                back = np.outer(error, self.out) * (best > 0)
-                grads: list = [None] * len(dense)
-                grads[-1] = act.T @ error + 1e-5 * self.out
-                down_all = np.zeros_like(vectors)
-                for j, k in enumerate(self.widths):
-                    g, arg = back[:, j * f : (j + 1) * f], where[j]
-                    windows = np.concatenate([vectors[ids[arg + i]] for i in range(k)], axis=2)
-                    grads[j] = np.einsum("bfd,bf->df", windows, g)
-                    grads[w + j] = g.sum(axis=0)
-                    down = np.einsum("bf,df->bfd", g, self.kernels[j]).reshape(len(batch), f, k, -1)
-                    for i in range(k):
-                        np.add.at(down_all, ids[arg + i].ravel(), down[:, :, i].reshape(-1, 2 * self.dim))
-                down_all[-1] = 0
-                hit = np.flatnonzero((down_all != 0).any(axis=1))
-                for i in range(2):
-                    row = rows[i][used[hit]]
-                    grad = np.repeat(down_all[hit, None, i * self.dim : (i + 1) * self.dim], row.shape[1], axis=1)
-                    keep = seen[i][row] >= min_docs
-                    uniq, inv = np.unique(row[keep], return_inverse=True)
-                    total = np.zeros((len(uniq), self.dim), np.float32)
-                    np.add.at(total, inv, grad[keep])
-                    table_squares[i][uniq] += total**2
-                    self.tables[i][uniq] -= rate * total / np.sqrt(table_squares[i][uniq])
-                for p, (value, grad) in enumerate(zip(dense, grads)):
-                    squares[p] += grad**2
-                    value -= rate * grad / np.sqrt(squares[p])
-                bias_square += float(error.sum()) ** 2
-                self.out_bias -= rate * float(error.sum()) / np.sqrt(bias_square)
-        self.trained = True
-
-
-def _collected(sample: DataFrame) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
-    """Labels, languages and texts (numbers of words) of the sample in the order
-    of ids, and the hashed parts of the words."""
+                row = rows[i][used[hit]]
+                grad = np.repeat(down_all[hit, None, i * self.dim : (i + 1) * self.dim], row.shape[1], axis=1)
+                keep = known[i][row]
+                uniq, inv = np.unique(row[keep], return_inverse=True)
+                total = np.zeros((len(uniq), self.dim), np.float32)
+                np.add.at(total, inv, grad[keep])
+                table_squares[i][uniq] += total**2
+                self.tables[i][uniq] -= rate * total / np.sqrt(table_squares[i][uniq])
+            for p, (value, grad) in enumerate(zip(dense, grads)):
+                squares[p] += grad**2
+                value -= rate * grad / np.sqrt(squares[p])
+            self.bias_square += float(error.sum()) ** 2
+            self.out_bias -= rate * float(error.sum()) / np.sqrt(self.bias_square)
+
+
+#: A move of 1 in fixed point, and how many rows of a state are summed together.
+_ONE, _BLOCK = float(1 << 24), 1 << 13
+_UNIT_WORDS = 1 << 24
+_UNITS = (
+    "docs int, pos int, fit_docs int, fit_pos int, label array<int>, lang array<string>, lengths array<int>, "
+    "n_words int, words binary, rows binary, slots array<int>, slot_docs array<int>"
+)
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """Numbers by planes of their bytes, compressed."""
+    x = np.ascontiguousarray(x)
+    return pa.compress(x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes(), "zstd", asbytes=True) if x.size else b""
+
+
+def _unpacked(data: bytes, kind: type, n: int) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    if not n:
+        return np.zeros(0, kind)
+    planes = np.frombuffer(pa.decompress(data, n * size, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(size, n).T).view(kind).ravel()
+
+
+def _units(rows: DataFrame, shares: int, most: int, model: TextCNN) -> DataFrame:
+    """The documents of ``rows`` as numbers of words, in rows of the shared folder
+    that are trained on as one: a share, or a part of it if that is very long."""
+    share = F.pmod(F.xxhash64("doc_id"), F.lit(shares)).cast("int")
+    rows = rows.select("doc_id", "label", "lang", "text", share.alias("share")).repartitionById(shares, F.col("share"))
+    rows = rows.sortWithinPartitions("share", "doc_id", F.xxhash64("text"), "lang").select("share", "label", "lang", "text")
+
+    def unit(index: _Index, held: list[bool], label: list[int], lang: list, texts: list[np.ndarray]) -> pa.RecordBatch:
+        table, slots = model.rows_of(word_parts(index.new)), 2 << model.bits
+        seen = np.zeros(slots, np.int32)
+        for text in (t for t, out in zip(texts, held) if not out):
+            own = table[:, np.unique(text)]
+            for i in range(2):
+                found = np.unique(own[i])
+                seen[found[found < 1 << model.bits] + (i << model.bits)] += 1
+        hit = np.flatnonzero(seen)
+        fit = [y for y, out in zip(label, held) if not out]
+        # held documents are marked by a label of 2 or 3 instead of 0 or 1
+        row = [len(label), sum(label), len(fit), sum(fit), [y + 2 * out for y, out in zip(label, held)], lang, [len(t) for t in texts], len(index.new)]
+        row += [_packed(np.concatenate(texts)), _packed(table), hit.astype(np.int32), seen[hit]]
+        kinds = [pa.int32()] * 4 + [pa.list_(pa.int32()), pa.list_(pa.string()), pa.list_(pa.int32()), pa.int32(), pa.binary(), pa.binary()] + [pa.list_(pa.int32())] * 2
+        names = [c.split()[0] for c in _UNITS.split(", ")]
+        return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, at, words = None, 0, 0
+        index, held, label, lang, texts = _Index(), [], [], [], []
         for b in slices(batches, "text"):
-            index, words = _Index(), []
-            for text in as_bytes(b.column("text")):
-                own = clean_words(text)
-                words.append(np.fromiter(map(index.__getitem__, own), np.int32, len(own)))
-            # the batch's words go with its first row
-            parts = [word_parts(index.new).ravel().view(np.int64), *[np.zeros(0, np.int64)] * (len(words) - 1)]
-            lists = [pa.array(words, pa.list_(pa.int32())), pa.array(parts, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in ("doc_id", "label", "lang")], *lists], ["doc_id", "label", "lang", "words", "parts"])
-
-    rows = sample.select("doc_id", "label", "lang", "text")
-    schema = rows.select("doc_id", "label", "lang").withColumns({"words": F.array(F.lit(0)), "parts": F.array(F.lit(0).cast("long"))}).schema
-    got = rows.mapInArrow(run, schema).toArrow()
-    ids, numbers, texts = got["doc_id"].to_numpy(), {}, []
-    rows_of, base = [], np.zeros(0, np.int64)
-    for words, parts in zip(got["words"].combine_chunks(), got["parts"].combine_chunks()) if got.num_rows else ():
-        new = parts.values.to_numpy().view(U64).reshape(-1, 1 + len(PREFIXES))
-        if len(new):  # a new batch: number its words anew, by the hash of the whole word
-            base = np.empty(len(new), np.int64)
-            for k, row in enumerate(new):
-                at = numbers.setdefault(key := row.tobytes(), len(numbers))
-                base[k] = at
-                if at == len(rows_of):
-                    rows_of.append(key)
-        texts.append(base[words.values.to_numpy()])
-    order = np.argsort(ids, kind="stable")
-    table = np.frombuffer(b"".join(rows_of), U64).reshape(-1, 1 + len(PREFIXES))
-    label, langs = got["label"].to_numpy().astype(np.float64), np.array(got["lang"].to_pylist(), object)
-    return label[order], langs[order], [texts[i] for i in order], table
-
-
-def train(sample: DataFrame, **shape) -> TextCNN:
-    """``sample``: doc_id, text, label, lang; its rows are bounded by the caller."""
+            for own, y, language, text in zip(b.column("share").to_pylist(), b.column("label").to_pylist(), b.column("lang").to_pylist(), as_bytes(b.column("text"))):
+                if texts and (own != now or len(texts) >= 2 * most or words >= _UNIT_WORDS):
+                    yield unit(index, held, label, lang, texts)
+                    index, held, label, lang, texts, words = _Index(), [], [], [], [], 0
+                at, now = at + 1 if own == now else 0, own
+                found = words_of(text)
+                texts.append(np.fromiter(map(index.__getitem__, found), np.int32, len(found)))
+                held.append(at % 5 == 4)
+                label.append(y)
+                lang.append(language)
+                words += len(found)
+        if texts:
+            yield unit(index, held, label, lang, texts)
+
+    return scratch.table(rows.mapInArrow(run, _UNITS), "toxicity")
+
+
+def _opened(b: pa.RecordBatch, bits: int) -> Iterator[tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray, list]]:
+    """Table rows, texts, labels, whether held out, and languages of each unit."""
+    for k in range(b.num_rows):
+        row = {c: b.column(c)[k] for c in ("label", "lengths", "n_words", "words", "rows", "lang")}
+        label, lengths = row["label"].values.to_numpy(), row["lengths"].values.to_numpy().astype(np.int64)
+        words = _unpacked(row["words"].as_py(), np.int32, int(lengths.sum()))
+        n = row["n_words"].as_py()
+        rows = _unpacked(row["rows"].as_py(), np.int32, 2 * n * (1 + len(PREFIXES))).reshape(2, n, -1 if n else 1 + len(PREFIXES))
+        yield rows, np.split(words, np.cumsum(lengths)[:-1]), (label & 1).astype(np.float64), label >= 2, row["lang"].as_py()
+
+
+def _round(units: DataFrame, model: TextCNN, known: np.ndarray, weight: float, round_: int) -> None:
+    """All units go once through their documents; ``model`` moves by the mean of their moves."""
+    sc = units.sparkSession.sparkContext
+    base = model.state()
+    shared = sc.broadcast((model, known))  # as large whatever the input
+    width = base.shape[1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, known = shared.value
+        base, total = first.state(), None
+        for b in batches:
+            for rows, texts, label, held, _ in _opened(b, first.bits):
+                fit = np.flatnonzero(~held)
+                if not len(fit):
+                    continue
+                own = deepcopy(first)
+                own.fit(rows, [texts[i] for i in fit], label[fit], known, weight, round_)
+                state = own.state()
+                moved = (state != base).any(axis=1)
+                moved[2 << first.bits :] = True
+                moved = np.flatnonzero(moved)
+                total = np.zeros((len(base), width + 1), np.int64) if total is None else total
+                total[moved, :-1] += np.rint((state[moved] - base[moved]) * np.float32(_ONE)).astype(np.int64) * len(fit)
+                total[moved, -1] += len(fit)
+        if total is not None:
+            for at in range(0, len(total), _BLOCK):
+                yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([_packed(total[at : at + _BLOCK])], pa.binary())], ["block", "moves"])
+
+    def add(key: tuple, group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = key[0].as_py()
+        n = (min(at + _BLOCK, rows_) - at) * (width + 1)
+        total = np.zeros(n, np.int64)
+        for b in group:
+            for data in b.column("moves"):
+                total += _unpacked(data.as_py(), np.int64, n)
+        total = total.reshape(-1, width + 1)
+        mean = (total[:, :-1] / (np.maximum(total[:, -1:], 1) * _ONE)).astype(np.float32)
+        yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([mean.tobytes()], pa.binary())], ["block", "moves"])
+
+    rows_, schema = len(base), "block int, moves binary"
+    # a worker sends one sum, however many units it has
+    moves = units.coalesce(max(1, sc.defaultParallelism)).mapInArrow(run, schema)
+    for row in moves.groupBy("block").applyInArrow(add, schema).collect():
+        mean = np.frombuffer(bytes(row["moves"]), np.float32).reshape(-1, width)
+        base[row["block"] : row["block"] + len(mean)] += mean
+    model.restore(base)
+    shared.destroy()
+
+
+def _held_scores(units: DataFrame, model: TextCNN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Raw score, label and language of all held-out documents, in an order of their own."""
+    shared = units.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for b in batches:
+            for rows, texts, label, held, lang in _opened(b, model.bits):
+                vectors = np.concatenate([model.embed(rows), np.zeros((1, 2 * model.dim), np.float32)])
+                out = np.flatnonzero(held)
+                raw = model.raw(vectors, [texts[i] for i in out])
+                arrays = [pa.array(raw, pa.float32()), pa.array(label[out], pa.float64()), pa.array([lang[i] for i in out], pa.string())]
+                yield pa.RecordBatch.from_arrays(arrays, ["raw", "label", "lang"])
+
+    got = units.mapInArrow(run, "raw float, label double, lang string").toArrow()
+    shared.destroy()
+    raw, label = got["raw"].to_numpy().astype(np.float64), got["label"].to_numpy()
+    lang = np.array(got["lang"].to_pylist(), object)
+    order = np.lexsort([np.array([x or "" for x in lang], str), label, raw])
+    return raw[order], label[order], lang[order]
+
+
+def train(labelled: DataFrame, n: int, rows: int = 5000, epochs: int = 8, min_docs: int = 3, **shape) -> TextCNN:
+    """``labelled``: doc_id, text, label, lang, all of them are learned from; about
+    ``n`` rows, in shares of about ``rows``."""
     model = TextCNN(**shape)
-    label, langs, texts, parts = _collected(sample)
-    if len(texts) < 20 or len(set(label)) < 2:
+    units = _units(labelled, max(1, -(-n // rows)), rows, model)
+    found = units.agg(*[F.sum(c).alias(c) for c in ("docs", "pos", "fit_docs", "fit_pos")]).first()
+    if (found["docs"] or 0) < 20 or found["pos"] in (0, found["docs"]):
         return model
-    held = np.arange(len(texts)) % 5 == 4
-    model.fit(parts, [t for t, h in zip(texts, held) if not h], label[~held])
-    vectors = np.concatenate([model.embed(model.rows_of(parts)), np.zeros((1, 2 * model.dim), np.float32)])
-    raw = model.raw(vectors, [t for t, h in zip(texts, held) if h]).astype(np.float64)
-    model.slope, model.shift = platt(raw, label[held])
+    slots = units.select(F.explode(F.arrays_zip("slots", "slot_docs")).alias("x")).groupBy("x.slots").agg(F.sum("x.slot_docs").alias("docs"))
+    often = slots.where(F.col("docs") >= min_docs).toArrow()["slots"].to_numpy()
+    known = np.zeros((2, (1 << model.bits) + 1), bool)
+    known[often >> model.bits, often & ((1 << model.bits) - 1)] = True
+    model.start(known)
+    weight = float(np.sqrt(max(1.0, (found["fit_docs"] - found["fit_pos"]) / max(1, found["fit_pos"]))))
+    for k in range(epochs):
+        _round(units, model, known, weight, k)
+    del model.squares
+    model.trained = True
+    raw, label, langs = _held_scores(units, model)
+    model.slope, model.shift = platt(raw, label)
     score = sigmoid(model.slope * raw + model.shift)
-    model.thresholds[None] = best_threshold(score, label[held])
+    model.thresholds[None] = best_threshold(score, label)
     for lang in sorted({x for x in langs if x is not None}):
-        own = langs[held] == lang
-        model.thresholds[lang] = best_threshold(score[own], label[held][own], model.thresholds[None])
+        own = langs == lang
+        model.thresholds[lang] = best_threshold(score[own], label[own], model.thresholds[None])
     return model
 
 
@@ -303,7 +469,7 @@ class Embedder:
         get = self.index.__getitem__
         rows = []
         for text in texts:
-            words = clean_words(text)
+            words = words_of(text)
             rows.append(np.fromiter(map(get, words), np.int64, len(words)))
         new, self.index.new = self.index.new, []
         total = self.size + len(new)
@@ -336,10 +502,11 @@ def score_texts(docs: DataFrame, model: TextCNN, keep: list[str], text_col: str
 
 def toxicity(docs: DataFrame, labels: DataFrame, learn_from: Column, rows: int = 5000, threshold: float = 0.3) -> DataFrame:
     """doc_id, score, predicted (score >= ``threshold``), and predicted_by_lang
-    (by the threshold calibrated for the document's language)."""
+    (by the threshold calibrated for the document's language).  All labelled
+    documents that pass ``learn_from`` are learned from, in shares of about ``rows``."""
     if "lang" not in docs.columns:
         docs = docs.withColumn("lang", F.lit(None).cast("string"))
-    model = train(training_sample(docs, labels, "toxic", learn_from, rows, ["lang"]))
+    model = train(*all_labelled(docs, labels, "toxic", learn_from, ["lang"]), rows)
     scored = score_texts(docs, model, ["doc_id", "lang"])
     by_lang = F.lit(float(model.thresholds[None]))
     for lang, cut in model.thresholds.items():

@@ -4,6 +4,7 @@ from collections import Counter
 
 
 import corpus_pipeline
+import pyarrow as pa
 from pyspark.sql import functions as F
 from test_mixing import water_fill
 from test_neardup import brute
@@ -109,3 +110,24 @@ def test_run_equals_its_parts_by_brute_force(spark, tmp_path, make_docs, monkeyp
 def test_names():
     assert [n for n in queries.QUERIES if re.match(r"op\d+_", n)] and len(queries.QUERIES) == 10
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality classifier", "near-duplicates", "decontamination", "mixing", "sharding"]
+
+
+def test_texts_reach_python_in_small_batches(spark, tmp_path, make_docs):
+    """A task holds its batch outside the heap, so 9 MB of texts must not be one batch."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    default = spark.conf.get(setting)
+    spark.createDataFrame([(0, "no such item")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    few = make_docs([(1, "one two", "en", "a")]).select("doc_id", "text", "lang", "source", "n_chars")
+    many = spark.range(0, 3000, 1, 1).select(F.repeat(F.lit("abcdefg "), 400).alias("text"))
+    sizes = lambda: [r["n"] for r in many.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches), "n long").collect()]
+    try:
+        for stage in (corpus_pipeline.classify_quality, corpus_pipeline.drop_near_duplicates, corpus_pipeline.decontaminate):
+            spark.conf.set(setting, default)
+            out = stage(spark, few, str(tmp_path))
+            assert sum(found := sizes()) > 9_000_000 and max(found) < 5_000_000 and out.count() == 1
+        spark.conf.set(setting, "1m")  # the caller's lower bound stays
+        corpus_pipeline.decontaminate(spark, few, str(tmp_path))
+        assert max(sizes()) < 2_000_000
+    finally:
+        spark.conf.set(setting, default)

@@ -12,10 +12,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 import xxhash
+from pyspark.sql import SparkSession
 
 U64 = np.uint64
 _MIX_A, _MIX_B = U64(0xFF51AFD7ED558CCD), U64(0xC4CEB9FE1A85EC53)
 _STEP = U64(0x9E3779B97F4A7C15)
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 class _Cache(dict):
@@ -94,3 +96,14 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 8 <<
             stop = max(start + 1, int(np.searchsorted(ends, total + max_bytes, "right")))
             yield batch.slice(start, stop - start)
             total, start = int(ends[stop - 1]), stop
+
+
+def small_batches(spark: SparkSession, most: int = 4 << 20) -> None:
+    """From now on Spark hands rows to Python in batches of about ``most`` bytes
+    (one row at least), whole groups excepted; a lower setting stays.  Spark's own
+    bound is 64 MB, which each task holds outside the heap, twice while a buffer
+    grows, and its worker once more.  The session keeps the setting, as plans take
+    it when they run."""
+    size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(_BATCH))
+    if not 0 < size <= most:
+        spark.conf.set(_BATCH, f"{most}b")
